@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import chat, mixing, url_reputation, zipwarc
+from strandline.llm import chat, mixing, packing, ppm, url_reputation, zipwarc
 from strandline.llm.common import rows_of, table
 
 RULES = [
@@ -22,6 +22,18 @@ def op1_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zipwarc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def byte_bpe() -> str:
+    """The place of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs all documents into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judges every page url; labels (by equal id) are the labelled page outcomes: bad if toxic or of low quality."""
     labels = table(spark, sf_dir, "labels")
@@ -49,7 +61,13 @@ def op8_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_zip_warc, op6_host_reputation, op7_mix_budgets, op8_reply_trees)}
+def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicts the language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return ppm.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_zip_warc, op4_pattern_packing, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language)}
 
 OP1_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
