@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import chat, mixing, packing, ppm, url_reputation, zipwarc
+from strandline.llm import chat, mixing, order_minhash, packing, ppm, url_reputation, zipwarc
 from strandline.llm.common import rows_of, table
 
 RULES = [
@@ -22,6 +22,11 @@ def op1_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zipwarc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies (smallest doc_id) of every document."""
+    return order_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def byte_bpe() -> str:
     """The place of the public byte-level vocabulary."""
     import public_tokenizers
@@ -67,7 +72,7 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_zip_warc, op4_pattern_packing, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language)}
+QUERIES = {f.__name__: f for f in (op1_zip_warc, op3_order_minhash, op4_pattern_packing, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language)}
 
 OP1_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
