@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import chat, mixing, order_minhash, packing, ppm, url_reputation, zipwarc
+from strandline.llm import chat, mixing, order_minhash, packing, ppm, repeats, url_reputation, zipwarc
 from strandline.llm.common import rows_of, table
 
 RULES = [
@@ -72,7 +72,14 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_zip_warc, op3_order_minhash, op4_pattern_packing, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language)}
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes every byte of documents that a 400-byte string covers which starts elsewhere too."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_zip_warc, op3_order_minhash, op4_pattern_packing, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language, op10_repeated_passages)}
 
 OP1_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
