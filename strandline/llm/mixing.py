@@ -56,16 +56,16 @@ def source_targets(
     return s.select("source", "source_size", "weight", "target", F.floor(F.col("target") + 0.5).cast("long").alias("budget"))
 
 
-def mix(docs: DataFrame, seed: int = 7, ranges: int | None = None, **targets) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 7, ranges: int | None = None, carry: tuple[str, ...] = (), **targets) -> DataFrame:
     """docs (doc_id, text, source, ...) -> doc_id, source, key, size, source_size, target, taken.
 
-    taken counts words, repeats included; taken // size whole copies, and a cut one of taken % size words.
+    ``carry`` names further columns that the rows keep. taken counts words, repeats included; taken // size whole copies, and a cut one of taken % size words.
     """
     text = F.coalesce("text", F.lit(""))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text))
     n = docs.count()
     k = ranges or max(1, math.isqrt(n))
-    base = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"))
+    base = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"), *carry)
     base = base.withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * k / (1 << 32)).cast("long"))
     totals = base.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     sizes = totals.groupBy("source").agg(F.sum("range_size").alias("source_size"))
@@ -79,4 +79,20 @@ def mix(docs: DataFrame, seed: int = 7, ranges: int | None = None, **targets) ->
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     tail = F.col("budget") - passes * F.col("source_size") - F.col("start") - F.col("before")
     taken = passes * F.col("size") + F.least(F.greatest(tail, F.lit(0)), F.col("size"))
-    return joined.select("doc_id", "source", "key", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return joined.select("doc_id", "source", "key", "size", "source_size", "target", taken.cast("long").alias("taken"), *carry)
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself, in the columns of docs: a document's whole copies, and its cut copy where it has one.
+
+    A document without words takes no part in budgets and stays once. n_chars follows a cut text.
+    """
+    carry = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
+    rows = mix(docs, carry=carry, **options)
+    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(1)).cast("int")
+    rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(F.lit(0)).cast("int")
+    cut = F.when(rest > 0, F.array(F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), rest), " "))).otherwise(F.array().cast("array<string>"))
+    out = rows.withColumn("_copy", F.explode(F.concat(F.array_repeat("text", whole), cut)))
+    chars = F.when(F.col("_copy") == F.col("text"), F.col("n_chars")).otherwise(F.length("_copy").cast("long"))
+    columns = {"text": F.col("_copy"), "n_chars": F.coalesce(chars, F.col("n_chars"))}
+    return out.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import chat, mixing, order_minhash, packing, ppm, repeats, url_reputation, zipwarc
+from strandline.llm import chat, mixing, order_minhash, packing, ppm, repeats, stable_projection, url_reputation, zipwarc
 from strandline.llm.common import rows_of, table
 
 RULES = [
@@ -39,6 +39,11 @@ def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op5_stable_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every vector whose id is divisible by 20, over all others."""
+    return stable_projection.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judges every page url; labels (by equal id) are the labelled page outcomes: bad if toxic or of low quality."""
     labels = table(spark, sf_dir, "labels")
@@ -79,7 +84,7 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_zip_warc, op3_order_minhash, op4_pattern_packing, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language, op10_repeated_passages)}
+QUERIES = {f.__name__: f for f in (op1_zip_warc, op3_order_minhash, op4_pattern_packing, op5_stable_projection, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language, op10_repeated_passages)}
 
 OP1_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),

@@ -333,3 +333,21 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 400, group_limit: int = 102
     joined = named.join(spans, (F.col("k") == F.col("sk")) & (F.col("n") == F.col("sn")), "left")
     out = joined.withColumn("_cut", apply(F.col("text"), F.col("spans"), F.col("n")))
     return out.select(*docs.columns, "_cut.n_bytes", F.col("_cut.spans").alias("removed_spans"), F.col("_cut.kept_bytes").alias("kept_bytes"))
+
+
+def drop_repeats(docs: DataFrame, min_bytes: int) -> DataFrame:
+    """docs with the repeats cut out of their texts (and n_chars set anew); documents of which no word is left go.
+
+    A cut through a character drops the rest of that character.
+    """
+    out = remove_repeats(docs, min_bytes)
+
+    @F.pandas_udf("string")
+    def decode(parts: pd.Series) -> pd.Series:
+        return parts.map(lambda x: bytes(x).decode("utf-8", "ignore"))
+
+    changed = F.size("removed_spans") > 0
+    out = out.withColumn("_text", F.when(changed, decode(F.col("kept_bytes"))).otherwise(F.col("text")))
+    out = out.filter(~changed | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
+    columns = {"text": F.col("_text"), "n_chars": F.when(changed, F.length("_text").cast("long")).otherwise(F.col("n_chars"))}
+    return out.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
