@@ -87,12 +87,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A document without words takes no part in budgets and stays once. n_chars follows a cut text.
     """
-    carry = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    rows = mix(docs, carry=carry, **options)
+    rows = mix(docs.select("doc_id", "source", "text", F.struct("*").alias("_row")), carry=("text", "_row"), **options)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(1)).cast("int")
     rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(F.lit(0)).cast("int")
     cut = F.when(rest > 0, F.array(F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), rest), " "))).otherwise(F.array().cast("array<string>"))
     out = rows.withColumn("_copy", F.explode(F.concat(F.array_repeat("text", whole), cut)))
-    chars = F.when(F.col("_copy") == F.col("text"), F.col("n_chars")).otherwise(F.length("_copy").cast("long"))
-    columns = {"text": F.col("_copy"), "n_chars": F.coalesce(chars, F.col("n_chars"))}
-    return out.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+    same = F.col("_copy").eqNullSafe(F.col("text"))
+    columns = {"text": F.col("_copy")}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(same, F.col("_row.n_chars")).otherwise(F.length("_copy").cast("long"))
+    return out.select(*[columns[c].alias(c) if c in columns else F.col(f"_row.`{c}`") for c in docs.columns])

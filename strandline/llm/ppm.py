@@ -60,8 +60,8 @@ def fit(texts: dict[str, list[bytes]], order: int = 4, min_count: int = 2) -> Mo
             grams[k].append(np.unique(np.concatenate(codes), return_counts=True) if codes else (np.zeros(0, np.int64), np.zeros(0, np.int64)))
     contexts = []
     for k in range(order + 1):
-        code = np.concatenate([c // width for c, _ in grams[k]])
-        n = np.concatenate([n for _, n in grams[k]])
+        code = np.concatenate([np.zeros(0, np.int64), *(c // width for c, _ in grams[k])])
+        n = np.concatenate([np.zeros(0, np.int64), *(n for _, n in grams[k])])
         found, at = np.unique(code, return_inverse=True)
         contexts.append(found[np.bincount(at, weights=n, minlength=len(found)) >= (min_count if k >= 3 else 1)] if k else np.zeros(1, np.int64))
     base = np.cumsum([0, *map(len, contexts)])
@@ -84,7 +84,7 @@ def fit(texts: dict[str, list[bytes]], order: int = 4, min_count: int = 2) -> Mo
             used = total > 0
             cost[own][used, :, i] += np.log2((total + kinds)[used] / kinds[used])[:, None]
             cost[base[k] + at, s, i] = np.log2((total + kinds)[at] / n)
-    return Model(langs, symbol.astype(np.uint8), (step * width).reshape(-1), cost.reshape(-1, len(langs)), order)
+    return Model(langs, symbol.astype(np.uint8), (step * width).reshape(-1), cost.reshape(base[-1] * width, len(langs)), order)
 
 
 def code_lengths(model: Model, texts: list[bytes], segment: int = 1024) -> np.ndarray:

@@ -93,7 +93,7 @@ def anchors(texts: list[bytes], min_bytes: int) -> tuple[np.ndarray, ...]:
 def maximal_repeats(segments: list[bytes], min_bytes: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """Maximal repeats of at least min_bytes in the segments: (length, segment numbers, starts in them).
 
-    Suffixes are ranked by doubling prefixes and sorted by their first 2 * 2**j >= min_bytes bytes; the interval tree of
+    Suffixes are ranked by doubling prefixes and sorted by as many bytes as the longest segment has; the interval tree of
     their common-prefix lengths is walked with a stack. A segment's edge counts as an extension of its own.
     """
     sizes = np.array([len(x) for x in segments], np.int64)
@@ -118,7 +118,7 @@ def maximal_repeats(segments: list[bytes], min_bytes: int) -> list[tuple[int, np
         h *= 2
         ranks.append((h, np.concatenate([rank + 1, [0]])))
     top = ranks[-1][1]
-    reach = [np.minimum(suffix + i * h, total) for i in range(-(-min_bytes // h) + 1)]
+    reach = [np.minimum(suffix + i * h, total) for i in range(-(-int(sizes.max()) // h))]  # as deep as the longest segment
     order = np.lexsort([top[x] for x in reversed(reach)])
     sa, owner = suffix[order], owner[order]
     left, right = sa[:-1].copy(), sa[1:].copy()
@@ -310,9 +310,9 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 400, group_limit: int = 102
     return spans.distinct().groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, min_bytes: int = 400, group_limit: int = 1024) -> DataFrame:
-    """docs (text, ...) -> the same columns, n_bytes, spans (removed, maximal), kept_bytes (binary)."""
-    named = _identified(docs)
+def _removed(docs: DataFrame, min_bytes: int, group_limit: int) -> DataFrame:
+    """(_row: the whole row, text, _cut: n_bytes, spans, kept_bytes); the row keeps any column names."""
+    named = _identified(docs.select("text", F.struct("*").alias("_row")))
     spans = stash(repeated_spans(named, min_bytes, group_limit), "spans").withColumnsRenamed({"k": "sk", "n": "sn"})
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -331,23 +331,27 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 400, group_limit: int = 102
         yield from cut(pd.DataFrame({"text_": t, "spans_": s, "n_": n}) for t, s, n in parts)
 
     joined = named.join(spans, (F.col("k") == F.col("sk")) & (F.col("n") == F.col("sn")), "left")
-    out = joined.withColumn("_cut", apply(F.col("text"), F.col("spans"), F.col("n")))
-    return out.select(*docs.columns, "_cut.n_bytes", F.col("_cut.spans").alias("removed_spans"), F.col("_cut.kept_bytes").alias("kept_bytes"))
+    return joined.select("text", "_row", apply(F.col("text"), F.col("spans"), F.col("n")).alias("_cut"))
+
+
+def remove_repeats(docs: DataFrame, min_bytes: int = 400, group_limit: int = 1024) -> DataFrame:
+    """docs (text, ...) -> the same columns, n_bytes, removed_spans (maximal), kept_bytes (binary)."""
+    out = _removed(docs, min_bytes, group_limit)
+    return out.select("_row.*", "_cut.n_bytes", F.col("_cut.spans").alias("removed_spans"), F.col("_cut.kept_bytes").alias("kept_bytes"))
 
 
-def drop_repeats(docs: DataFrame, min_bytes: int) -> DataFrame:
+def drop_repeats(docs: DataFrame, min_bytes: int, group_limit: int = 1024) -> DataFrame:
     """docs with the repeats cut out of their texts (and n_chars set anew); documents of which no word is left go.
 
     A cut through a character drops the rest of that character.
     """
-    out = remove_repeats(docs, min_bytes)
 
     @F.pandas_udf("string")
     def decode(parts: pd.Series) -> pd.Series:
         return parts.map(lambda x: bytes(x).decode("utf-8", "ignore"))
 
-    changed = F.size("removed_spans") > 0
-    out = out.withColumn("_text", F.when(changed, decode(F.col("kept_bytes"))).otherwise(F.col("text")))
+    changed = F.size("_cut.spans") > 0
+    out = _removed(docs, min_bytes, group_limit).withColumn("_text", F.when(changed, decode(F.col("_cut.kept_bytes"))).otherwise(F.col("text")))
     out = out.filter(~changed | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
-    columns = {"text": F.col("_text"), "n_chars": F.when(changed, F.length("_text").cast("long")).otherwise(F.col("n_chars"))}
-    return out.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+    columns = {"text": F.col("_text"), "n_chars": F.when(changed, F.length("_text").cast("long")).otherwise(F.col("_row.n_chars") if "n_chars" in docs.columns else F.lit(None))}
+    return out.select(*[columns[c].alias(c) if c in columns else F.col(f"_row.`{c}`") for c in docs.columns])
