@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import chat, mixing, order_minhash, packing, ppm, repeats, stable_projection, url_reputation, zipwarc
+from strandline.llm import chat, image_features, mixing, order_minhash, packing, ppm, repeats, stable_projection, url_reputation, zipwarc
 from strandline.llm.common import rows_of, table
 
 RULES = [
@@ -22,6 +22,12 @@ def op1_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zipwarc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_local_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of copies among one drawn image for every page."""
+    ids = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"))
+    return image_features.image_classes(image_features.drawn(ids)).withColumnRenamed("id", "page_id")
+
+
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies (smallest doc_id) of every document."""
     return order_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
@@ -84,7 +90,7 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_zip_warc, op3_order_minhash, op4_pattern_packing, op5_stable_projection, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language, op10_repeated_passages)}
+QUERIES = {f.__name__: f for f in (op1_zip_warc, op2_local_descriptors, op3_order_minhash, op4_pattern_packing, op5_stable_projection, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language, op10_repeated_passages)}
 
 OP1_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
