@@ -38,6 +38,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
+    """Arrow batches of at most ``limit`` bytes in this session, unless it asks for smaller ones already.
+
+    Texts are long and an executor runs several Python workers, each of which holds a batch and its copies.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(key).rstrip("b"))
+    if not 0 < now <= limit:
+        spark.conf.set(key, limit)
+
+
 def rows_of(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A small literal frame."""
     return spark.createDataFrame(rows, schema)

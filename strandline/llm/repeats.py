@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import stash
+from strandline.llm.common import small_batches, stash
 from strandline.llm.order_minhash import MULTIPLIER, _powers, mix
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * MULTIPLIER)
@@ -176,7 +176,7 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.withColumn("k", F.xxhash64(text)).withColumn("n", F.octet_length(text).cast("long"))
 
 
-def _by_size(batch: pd.DataFrame, limit: int = 4 << 20) -> Iterator[pd.DataFrame]:
+def _by_size(batch: pd.DataFrame, limit: int = 1 << 20) -> Iterator[pd.DataFrame]:
     if len(batch):
         part = (batch["n"].cumsum() - 1) // limit
         for _, rows in batch.groupby(part, sort=False):
@@ -213,7 +213,7 @@ def segments_of(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame
     return joined.mapInPandas(cut, "k long, n long, anchor long, pos long, lo long, hi long, size long, bytes binary")
 
 
-def sorted_groups(segments: DataFrame, min_bytes: int, batch_bytes: int = 1 << 20) -> DataFrame:
+def sorted_groups(segments: DataFrame, min_bytes: int, batch_bytes: int = 1 << 19) -> DataFrame:
     """Spans (k, n, start, stop) of repeats within groups, by suffix arrays over whole groups at a time."""
 
     def solve(rows: list[tuple]) -> pd.DataFrame:
@@ -310,34 +310,44 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 400, group_limit: int = 102
     return spans.distinct().groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 
 
-def _removed(docs: DataFrame, min_bytes: int, group_limit: int) -> DataFrame:
-    """(_row: the whole row, text, _cut: n_bytes, spans, kept_bytes); the row keeps any column names."""
+def _removed(docs: DataFrame, min_bytes: int, group_limit: int, kept_type: str) -> DataFrame:
+    """(_row: the whole row, text, n, _has: something repeats, _cut: spans, kept); the row keeps any column names.
+
+    Only texts in which something repeats go through Python; _cut is null for the rest. kept_type string drops
+    the rest of a character that is cut through.
+    """
+    small_batches(docs.sparkSession)
     named = _identified(docs.select("text", F.struct("*").alias("_row")))
     spans = stash(repeated_spans(named, min_bytes, group_limit), "spans").withColumnsRenamed({"k": "sk", "n": "sn"})
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            kept, cut_spans = [], []
-            for text, spans in zip(batch["text_"], batch["spans_"], strict=True):
-                data = (text or "").encode()
-                merged = merge_spans(np.array([(s["start"], s["stop"]) for s in spans], np.int64).reshape(-1, 2)) if spans is not None else np.zeros((0, 2), np.int64)
+    @F.pandas_udf(f"spans array<struct<start:long,stop:long>>, kept {kept_type}")
+    def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, all_spans in parts:
+            out_spans, out_kept = [], []
+            for text, found in zip(texts, all_spans, strict=True):
+                if found is None:
+                    out_spans.append(None)
+                    out_kept.append(None)
+                    continue
+                data = text.encode()
+                merged = merge_spans(np.array([(x["start"], x["stop"]) for x in found], np.int64).reshape(-1, 2))
                 edges = [0, *merged.reshape(-1).tolist(), len(data)]
-                kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-                cut_spans.append([{"start": a, "stop": b} for a, b in merged.tolist()])
-            yield pd.DataFrame({"n_bytes": batch["n_"], "spans": cut_spans, "kept_bytes": kept})
-
-    @F.pandas_udf("n_bytes long, spans array<struct<start:long,stop:long>>, kept_bytes binary")
-    def apply(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        yield from cut(pd.DataFrame({"text_": t, "spans_": s, "n_": n}) for t, s, n in parts)
+                kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                out_kept.append(kept if kept_type == "binary" else kept.decode("utf-8", "ignore"))
+                out_spans.append([{"start": a, "stop": b} for a, b in merged.tolist()])
+            yield pd.DataFrame({"spans": out_spans, "kept": out_kept})
 
+    has = F.col("sk").isNotNull()
     joined = named.join(spans, (F.col("k") == F.col("sk")) & (F.col("n") == F.col("sn")), "left")
-    return joined.select("text", "_row", apply(F.col("text"), F.col("spans"), F.col("n")).alias("_cut"))
+    return joined.select("text", "_row", "n", has.alias("_has"), cut(F.when(has, F.col("text")), F.col("spans")).alias("_cut"))
 
 
 def remove_repeats(docs: DataFrame, min_bytes: int = 400, group_limit: int = 1024) -> DataFrame:
     """docs (text, ...) -> the same columns, n_bytes, removed_spans (maximal), kept_bytes (binary)."""
-    out = _removed(docs, min_bytes, group_limit)
-    return out.select("_row.*", "_cut.n_bytes", F.col("_cut.spans").alias("removed_spans"), F.col("_cut.kept_bytes").alias("kept_bytes"))
+    out = _removed(docs, min_bytes, group_limit, "binary")
+    none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
+    spans, kept = F.coalesce("_cut.spans", none), F.coalesce("_cut.kept", F.coalesce("text", F.lit("")).cast("binary"))
+    return out.select("_row.*", F.col("n").alias("n_bytes"), spans.alias("removed_spans"), kept.alias("kept_bytes"))
 
 
 def drop_repeats(docs: DataFrame, min_bytes: int, group_limit: int = 1024) -> DataFrame:
@@ -345,13 +355,8 @@ def drop_repeats(docs: DataFrame, min_bytes: int, group_limit: int = 1024) -> Da
 
     A cut through a character drops the rest of that character.
     """
-
-    @F.pandas_udf("string")
-    def decode(parts: pd.Series) -> pd.Series:
-        return parts.map(lambda x: bytes(x).decode("utf-8", "ignore"))
-
-    changed = F.size("_cut.spans") > 0
-    out = _removed(docs, min_bytes, group_limit).withColumn("_text", F.when(changed, decode(F.col("_cut.kept_bytes"))).otherwise(F.col("text")))
+    changed = F.col("_has")
+    out = _removed(docs, min_bytes, group_limit, "string").withColumn("_text", F.when(changed, F.col("_cut.kept")).otherwise(F.col("text")))
     out = out.filter(~changed | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
     columns = {"text": F.col("_text"), "n_chars": F.when(changed, F.length("_text").cast("long")).otherwise(F.col("_row.n_chars") if "n_chars" in docs.columns else F.lit(None))}
     return out.select(*[columns[c].alias(c) if c in columns else F.col(f"_row.`{c}`") for c in docs.columns])
