@@ -36,6 +36,8 @@ from strandline.llm.common import stash
 
 BREAK = re.compile(r"(?<=\S)(?= )")
 SPACES = re.compile(r"\s ")
+#: Chunks a worker keeps, at about 160 bytes each.
+MEMO_SIZE = 800_000
 
 
 class Encoder:
@@ -46,7 +48,7 @@ class Encoder:
     is kept by the worker, and emptied when full.
     """
 
-    def __init__(self, path: str, memo_size: int = 800_000):
+    def __init__(self, path: str, memo_size: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -84,11 +86,11 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, memo_size: int) -> Encoder:
+    return Encoder(path, memo_size)
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 0) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 0, memo_size: int = MEMO_SIZE) -> DataFrame:
     """docs (doc_id, text) -> doc_id, piece, start, length, ids_crc32; only the first piece may be shorter."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,7 +99,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
                 rows = []
-                for doc_id, ids in zip(part["doc_id"], encoder(tokenizer).encode(part["text"].tolist()), strict=True):
+                for doc_id, ids in zip(part["doc_id"], encoder(tokenizer, memo_size).encode(part["text"].tolist()), strict=True):
                     ids += end
                     n = len(ids) // 4
                     first = (n - 1) % max_tokens + 1
@@ -248,9 +250,9 @@ def rank_in_length(pieces: DataFrame, n: int) -> DataFrame:
     return rows.join(starts, ["length", "range"]).withColumn("rank", F.col("before") + F.col("at")).drop("hash", "range", "at", "before")
 
 
-def pack(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 0, unit: int = 8, depth: int = 3) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = stash(token_pieces(docs, tokenizer, max_tokens, end_id), "pieces")
+def pack(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 0, unit: int = 8, depth: int = 3, memo_size: int = MEMO_SIZE) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, piece, start, length, ids_crc32, sequence_id, offset. memo_size trades memory for speed only."""
+    pieces = stash(token_pieces(docs, tokenizer, max_tokens, end_id, memo_size), "pieces")
     counts = np.zeros(max_tokens + 1, np.int64)
     for row in pieces.groupBy("length").count().collect():  # at most max_tokens rows
         counts[row["length"]] = row["count"]
