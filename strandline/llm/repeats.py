@@ -337,6 +337,7 @@ def _removed(docs: DataFrame, min_bytes: int, group_limit: int, kept_type: str)
                 out_spans.append([{"start": a, "stop": b} for a, b in merged.tolist()])
             yield pd.DataFrame({"spans": out_spans, "kept": out_kept})
 
+    cut = cut.asNondeterministic()  # else a filter on its result is pushed below and runs it a second time, in workers of its own
     has = F.col("sk").isNotNull()
     joined = named.join(spans, (F.col("k") == F.col("sk")) & (F.col("n") == F.col("sn")), "left")
     return joined.select("text", "_row", "n", has.alias("_has"), cut(F.when(has, F.col("text")), F.col("spans")).alias("_cut"))

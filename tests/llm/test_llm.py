@@ -76,6 +76,7 @@ def test_maximal_repeats_are_maximal():
 
 def test_edge_rows_of_repeats_and_classes(spark, odd):
     kept = repeats.drop_repeats(odd, 200)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
     assert kept.columns == odd.columns and {r["k"] for r in kept.select("k").collect()} == {"k", None}
     got = order_minhash.classes(odd).collect()
     assert len(got) == odd.count()
@@ -130,7 +131,7 @@ def test_near_copies_are_found_and_strangers_left_alone(spark):
 
 def test_packing(spark, odd):
     out = packing.pack(odd, byte_bpe()).toPandas()
-    encoder = packing.Encoder(byte_bpe())
+    encoder = packing.Encoder(byte_bpe(), packing.MEMO_SIZE)
     for doc_id, text in odd.select("doc_id", "text").filter("doc_id is not null").distinct().collect():
         own = out[out.doc_id == doc_id].drop_duplicates("piece").sort_values("piece")
         assert own.length.sum() == len(encoder.whole([text or ""])[0]) // 4 + 1
@@ -143,7 +144,7 @@ def test_packing(spark, odd):
 
 def test_chunked_ids_equal_whole_ids():
     texts = ["a  b \n c  d  ", " x", "it's 's  't\t \n\n y ", "", "　 a", "a\x1c b <|endoftext|> c", "été, naïve  ça\n\nva ?  12 3,4"]
-    encoder = packing.Encoder(byte_bpe())
+    encoder = packing.Encoder(byte_bpe(), packing.MEMO_SIZE)
     assert encoder.encode(texts) == encoder.whole(texts) == encoder.encode(texts)
 
 
