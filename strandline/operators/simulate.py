@@ -18,3 +18,43 @@ def sim_truth(genes: DataFrame, bins: list[tuple[str, int, int]], replicates: in
     e = e.withColumn("del_start", F.col("start") + draw("start", length - F.col("del_size") + 1)).withColumn("del_end", F.col("del_start") + F.col("del_size") - 1)
     pairs = lambda n: F.floor(depth / 2 * n / (2 * read_length) + 0.5)
     return e.withColumn("ref_fragments", pairs(length)).withColumn("alt_fragments", pairs(length - F.col("del_size"))).drop("least", "most")
+
+
+def _uniform(seed: int, *parts):
+    """In (0, 1), from a hash of the parts."""
+    return (F.pmod(F.xxhash64(*parts, F.lit(seed)), F.lit(1 << 32)) + 0.5) / float(1 << 32)
+
+
+def read_pairs(haplotypes: DataFrame, read_length: int = 150, insert_mean: float = 350.0, insert_sd: float = 50.0, error_rate: float = 0.0, seed: int = 1, tries: int = 16) -> DataFrame:
+    """haplotypes (name, seq, fragments) -> name, fragment, start0, insert, r1, r2, quality.
+
+    The insert is normal within read length and sequence length: the first of ``tries`` draws inside, else the mean
+    brought inside. Sequences shorter than a read have no pairs. r2 is the reverse complement of the fragment's end.
+    """
+    h = haplotypes.select("name", F.upper("seq").alias("seq"), "fragments").filter((F.length("seq") >= read_length) & (F.col("fragments") > 0))
+    f = h.select("name", "seq", F.explode(F.sequence(F.lit(1).cast("long"), F.col("fragments").cast("long"))).alias("fragment"))
+    own, most = (F.col("name"), F.col("fragment")), F.length("seq")
+
+    def draw(i: int):
+        z = F.sqrt(-2 * F.log(_uniform(seed, *own, F.lit(f"radius{i}")))) * F.cos(2 * F.pi() * _uniform(seed, *own, F.lit(f"angle{i}")))
+        x = F.floor(z * insert_sd + insert_mean + 0.5)
+        return F.when(x.between(F.lit(read_length), most), x)
+
+    clamped = F.least(F.greatest(F.lit(int(insert_mean + 0.5)), F.lit(read_length)), most)
+    f = f.withColumn("insert", F.coalesce(*[draw(i) for i in range(tries)], clamped).cast("int"))
+    f = f.withColumn("start0", F.floor(_uniform(seed, *own, F.lit("start")) * (most - F.col("insert") + 1)).cast("int"))
+
+    def with_errors(read, tag: str):
+        if error_rate <= 0:
+            return read
+
+        def base(x, i):
+            at = F.floor(_uniform(seed, *own, F.lit(f"base-{tag}"), i) * 3).cast("int") + 1
+            wrong = (_uniform(seed, *own, F.lit(f"error-{tag}"), i) < error_rate) & x.isin("A", "C", "G", "T")
+            return F.when(wrong, F.substring(F.array_join(F.filter(F.array(*map(F.lit, "ACGT")), lambda y: y != x), ""), at, 1)).otherwise(x)
+
+        return F.array_join(F.transform(F.split(read, "(?!$)"), base), "")
+
+    r1 = F.substring("seq", F.col("start0") + 1, F.lit(read_length))
+    r2 = F.reverse(F.translate(F.substring("seq", F.col("start0") + F.col("insert") - read_length + 1, F.lit(read_length)), "ACGT", "TGCA"))
+    return f.select("name", "fragment", "start0", "insert", with_errors(r1, "1").alias("r1"), with_errors(r2, "2").alias("r2"), F.repeat(F.lit("I"), read_length).alias("quality"))

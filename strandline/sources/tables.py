@@ -104,3 +104,38 @@ def parse_samples(text: str) -> list[tuple[str, str]]:
         if len(set(column)) < len(rows):
             raise ValueError("samples and paths must be unique")
     return rows
+
+
+def read_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """name, seq (upper case): a record a row, so a file is split between records."""
+    rows = spark.read.option("lineSep", "\n>").text(path).filter("trim(value) <> ''")
+    head = F.regexp_extract("value", r"^>?([^\s]+)", 1)
+    return rows.select(head.alias("name"), F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\n]*", ""), r"\s+", "")).alias("seq"))
+
+
+def fasta_regions(fasta: DataFrame, regions: DataFrame) -> DataFrame:
+    """fasta (name, seq), regions (chrom, start, end from 1, both included) -> regions with seq; a region past the end is cut."""
+    return regions.join(fasta.withColumnRenamed("name", "chrom"), "chrom").withColumn("seq", F.substring("seq", F.col("start"), F.col("end") - F.col("start") + 1))
+
+
+def write_fastq(pairs: DataFrame, path: str) -> None:
+    """Read pairs (name, fragment, start0, insert, r1, r2, quality) as the folders R1 and R2 under ``path``, in one order, beside the pairs they are written from."""
+    ident = F.concat_ws(":", "name", F.concat(F.lit("frag="), "fragment"), F.concat(F.lit("hap_start0="), "start0"), F.concat(F.lit("insert="), "insert"))
+    ordered = pairs.withColumn("id", ident).repartitionByRange("name", "fragment").sortWithinPartitions("name", "fragment")
+    ordered.select("id", "r1", "r2", "quality").write.mode("overwrite").parquet(f"{path}/pairs")  # one order for both
+    back = pairs.sparkSession.read.parquet(f"{path}/pairs")
+    for n in ("1", "2"):
+        record = F.concat(F.lit("@"), "id", F.lit(f"/{n}\n"), f"r{n}", F.lit("\n+\n"), "quality")
+        back.select(record.alias("value")).write.mode("overwrite").text(f"{path}/R{n}")
+
+
+#: The columns kept of the tissue atlas.
+ATLAS_COLUMNS = ["Gene", "Gene description", "RNA tissue specificity", "RNA tissue specific nTPM"]
+
+
+def atlas_columns(spark: SparkSession, path: str) -> DataFrame:
+    """The atlas columns of a TSV, without surrounding quotes; missing cells are empty, a missing column is an error."""
+    df = spark.read.csv(path, sep="\t", header=True, quote='"')
+    if lost := [c for c in ATLAS_COLUMNS if c not in df.columns]:
+        raise ValueError(f"columns missing in {path}: {', '.join(lost)}")
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in ATLAS_COLUMNS])
