@@ -8,14 +8,16 @@ distance must be at most ``1 - similarity`` of the longer text. Verified links a
 classes by connected components.
 
 Candidates: in a band value shared by up to ``pair_limit`` different texts, every pair; in one shared by
-more, each text with the smallest text (the leader) and with its neighbour in the order of the next band. In
-a large group of near copies these links join the group; in a large group that only shares a passage they
-fail, and pairs that are really near meet in their other bands, whose k-mers come from the rest of the texts.
-Nothing is capped per text. The README has the measured recall.
+more, first each text with the smallest text (the leader) and with its neighbour in the order of the next
+band. In a large group of near copies these links join the group. Where they leave more than one class in a
+group (one that only shares a passage, say), every pair of texts of different classes is compared, block by
+block: first by length and a histogram of hashed words, which bound the edit distance from below, so no near
+pair is lost; pairs within the bound are aligned unless links of their block already join them. Nothing is capped. The README has the measured recall.
 
 Scale: exact copies meet first, by digest, so a group of copies counts once. Band rows are numbers; groups
 are counted with map-side combine; only texts with a candidate are shuffled, and hot keys are joins of two
-written tables that adaptive execution splits.
+written tables that adaptive execution splits. The blocks of one unresolved group are dealt over all tasks;
+their comparisons grow with the square of that group.
 
 Edge cases: null and empty texts are equal texts without words: they are exact copies of one another,
 and candidates of nothing else. Texts shorter than k words have one k-mer of all their words. Very long texts are
@@ -37,6 +39,7 @@ from strandline.llm.graph import components
 DROPPED = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SPACES = b" \t\n\r\x0b\x0c"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+BINS, BLOCK = 512, 256  # of the histograms of words, and texts in a block of an unresolved group
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -208,6 +211,27 @@ def near(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return banded_distance(a, b, limit) <= limit
 
 
+def near_many(a: list[np.ndarray], b: np.ndarray, similarity: float, most: int = 512) -> np.ndarray:
+    """near(x, b) of every x in ``a``, none longer than b; short ones all at once, by rows of the band."""
+    n, limit = len(b), int((1 - similarity) * len(b) + 1e-9)
+    if n > most or len(a) < 4:
+        return np.array([near(x, b, similarity) for x in a], bool)
+    sizes = np.array([len(x) for x in a])
+    grid = np.full((len(a), n + 4 * limit + 2), -1, np.int64)  # words from column ``limit`` on
+    for row, x in zip(grid, a, strict=True):
+        row[limit : limit + len(x)] = x
+    wide, step = 2 * limit + 1, np.arange(2 * limit + 1)
+    costs = np.where(step >= limit, step - limit, 2 * n + 2)[None, :].repeat(len(a), 0)  # of b[:0] and x[:j], j = column - limit
+    for i in range(n):
+        whole = costs + (grid[:, i : i + wide] != b[i])
+        whole[:, :-1] = np.minimum(whole[:, :-1], costs[:, 1:] + 1)
+        whole[:, : max(0, limit - i - 1)] = 2 * n + 2  # x has no prefix of negative length
+        costs = np.minimum.accumulate(whole - step, axis=1) + step
+    at = sizes - n + limit
+    ok = (at >= 0) & (at < wide)
+    return ok & (costs[np.arange(len(a)), np.where(ok, at, 0)] <= limit)
+
+
 # ---- the operator ----------------------------------------------------------------------------
 
 
@@ -234,8 +258,8 @@ def band_rows(docs: DataFrame, k: int, length: int, rows: int, bands: int) -> Da
     return docs.select(text_key(F.col("text")).alias("key"), "text").mapInPandas(work, "key string, band long, next long")
 
 
-def candidate_pairs(bands: DataFrame, pair_limit: int) -> DataFrame:
-    """(key, band, next) -> different (a, b) with a < b."""
+def candidate_pairs(bands: DataFrame, pair_limit: int) -> tuple[DataFrame, DataFrame]:
+    """(key, band, next) -> different (a, b) with a < b, and the (band, key) of the bands above pair_limit, where only some pairs were formed."""
     groups = stash(bands.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("leader")).filter("n > 1"), "band-groups")
     shared = stash(bands.join(groups, "band"), "shared-bands")
     sets = shared.filter(F.col("n") <= pair_limit).groupBy("band").agg(F.collect_set("key").alias("keys"))
@@ -245,11 +269,11 @@ def candidate_pairs(bands: DataFrame, pair_limit: int) -> DataFrame:
     # neighbours in the order of the next band: the first text with each (band, next), and within it the leader
     inner = stash(large.groupBy("band", "next").agg(F.min("key").alias("first"), F.count("*").alias("m")).filter("m > 1"), "inner-bands")
     inside = large.join(inner, ["band", "next"]).select(F.col("first").alias("a"), F.col("key").alias("b"))
-    return some.union(star).union(inside).filter("a < b").distinct()
+    return some.union(star).union(inside).filter("a < b").distinct(), large.select("band", "key").distinct()
 
 
-def verified_links(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts are near."""
+def text_words(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(key, words) of the texts with a pair."""
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(stash(wanted, "wanted").hint("shuffle_hash"), "key", "left_semi")
 
@@ -263,7 +287,11 @@ def verified_links(docs: DataFrame, pairs: DataFrame, similarity: float) -> Data
                 hashes = (hashes >> np.uint64(32)).astype("<u4")
                 yield pd.DataFrame({"key": part["key"].to_numpy(), "words": [hashes[e - c : e].tobytes() for c, e in zip(n, ends, strict=True)]})
 
-    own = stash(texts.mapInPandas(words, "key string, words binary").dropDuplicates(["key"]), "words")
+    return stash(texts.mapInPandas(words, "key string, words binary").dropDuplicates(["key"]), "words")
+
+
+def verified_links(own: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts, by own (key, words), are near."""
     both = pairs.join(own.select(F.col("key").alias("a"), F.col("words").alias("wa")), "a").join(own.select(F.col("key").alias("b"), F.col("words").alias("wb")), "b")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,14 +302,64 @@ def verified_links(docs: DataFrame, pairs: DataFrame, similarity: float) -> Data
     return both.mapInPandas(verify, "a string, b string")
 
 
+def late_links(large: DataFrame, labels: DataFrame, own: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
+    """large (band, key) -> links (a, b) that join all texts of a band that a chain of near pairs joins, given the classes known so far."""
+    members = stash(large.join(labels, "key", "left").select("band", "key", F.coalesce("label", "key").alias("label")), "large-members")
+    mixed = members.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    blocks = mixed.select("band", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    left = stash(members.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")), "unresolved")
+    dealt = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "key", "label", "block")
+    known = own.join(left.groupBy("key").agg(F.collect_set("band").alias("bands")), "key")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        words = [np.frombuffer(w, "<u4") for w in group["words"]]
+        size = np.array([len(w) for w in words])
+        order = np.argsort(size, kind="stable")
+        words, size, group = [words[i] for i in order], size[order], group.iloc[order]
+        bins = np.array([np.minimum(np.bincount(w % BINS, minlength=BINS), 255) for w in words], np.uint8)
+        label, side, key = group["label"].factorize()[0], group["block"].to_numpy(), group["key"].to_numpy()
+        shared, band = [set(x) for x in group["bands"]], group["band"].iat[0]
+        across, out = group["lo"].iat[0] != group["hi"].iat[0], []
+        for i in range(1, len(group)):
+            limit = int((1 - similarity) * size[i] + 1e-9)  # the later text is the longer one
+            at = np.arange(np.searchsorted(size, size[i] - limit), i)
+            at = at[(label[at] != label[i]) & (not across or side[at] != side[i])]
+            if len(at):
+                apart = (np.maximum(bins[at], bins[i]) - np.minimum(bins[at], bins[i])).sum(1, dtype=np.uint32)
+                at = [j for j in at[apart <= 2 * limit] if min(shared[i] & shared[j]) == band]  # once, not in every band they share
+                for j in np.array(at, int)[near_many([words[j] for j in at], words[i], similarity)] if at else ():
+                    if label[j] != label[i]:
+                        label[label == label[j]] = label[i]
+                        out.append((min(key[i], key[j]), max(key[i], key[j])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=object)
+
+    return dealt.join(stash(known, "unresolved-words"), "key").groupBy("band", "lo", "hi").applyInPandas(compare, "a string, b string").distinct()
+
+
+def merged_groups(groups: DataFrame, more: DataFrame) -> DataFrame:
+    """groups (key, label) with the classes that the links ``more`` join made one: components of the labels, not of all texts anew."""
+    ends = more.select(F.col("a").alias("key")).union(more.select(F.col("b").alias("key"))).distinct()
+    ends = stash(ends.join(groups, "key", "left").select("key", F.coalesce("label", "key").alias("label")), "late-ends")
+    low, high = ends.toDF("a", "low"), ends.toDF("b", "high")
+    edges = more.join(low, "a").join(high, "b").select(F.col("low").alias("a"), F.col("high").alias("b")).filter("a <> b").distinct()
+    tops = components(edges).toDF("label", "top")
+    return groups.union(ends).distinct().join(tops, "label", "left").select("key", F.coalesce("top", "label").alias("label"))
+
+
 def named_classes(docs: DataFrame, k: int = 5, length: int = 2, rows: int = 2, bands: int = 16, similarity: float = 0.8, pair_limit: int = 32) -> DataFrame:
     """docs (doc_id, text) -> doc_id, key (digest of the text), class_key."""
     small_batches(docs.sparkSession)
     texts = docs.select("doc_id", "text")
     found = stash(band_rows(texts, k, length, rows, bands).distinct(), "bands")
-    pairs = stash(candidate_pairs(found, pair_limit), "pairs")
-    links = stash(verified_links(texts, pairs, similarity), "near-links")
+    pairs, large = candidate_pairs(found, pair_limit)
+    pairs = stash(pairs, "pairs")
+    own = text_words(texts, pairs)
+    links = stash(verified_links(own, pairs, similarity), "near-links")
     groups = components(links).select(F.col("node").alias("key"), F.col("label"))
+    more = stash(late_links(large, groups, own, similarity), "late-links")
+    if not more.isEmpty():
+        groups = merged_groups(groups, more)
     copies = stash(texts.select("doc_id", text_key(F.col("text")).alias("key")), "copies")
     return stash(copies.join(groups, "key", "left").select("doc_id", "key", F.coalesce("label", "key").alias("class_key")), "named")
 

@@ -268,3 +268,35 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF).toPandas().sort_values(["sequence_id", "offset"])
     assert len(out) and (out.groupby("sequence_id").length.cumsum() - out.length == out.offset).all()
     assert shared_dir(spark)
+
+
+def test_near_pairs_in_a_large_group_that_shares_a_passage(spark):
+    rng = random.Random(31)
+    say = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    passage, rows = say(150), []
+    for i in range(150):  # pairs alike in the passage and in 35 of 50 words around it; strangers share the passage alone
+        own = say(50)
+        for copy in range(2):
+            rows.append((2 * i + copy, " ".join(own[:25] + passage + [w if not copy or j % 2 else f"x{i}-{j}" for j, w in enumerate(own[25:])])))
+    rows += [(1000 + i, " ".join(passage[:140] + say(3) + passage[140:] + say(5))) for i in range(3)]  # short ones, near one another
+    words = [np.array([hash(w) & 0xFFFFFFFF for w in t.split()], "u4") for _, t in rows]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if label[a] != label[b] and order_minhash.near(words[a], words[b], 0.8):
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = {rows[i][0]: rows[x][0] for i, x in enumerate(label)}
+    assert len(set(expected.values())) > 100  # the group is not one class
+    assert {r["doc_id"]: r["class_id"] for r in order_minhash.classes(docs).collect()} == expected
+
+
+def test_near_many_equals_near():
+    rng = random.Random(8)
+    for _ in range(150):
+        b = [rng.randint(0, 12) for _ in range(rng.randint(0, 40))]
+        many = [([y for y in b if rng.random() > 0.1] + [rng.randint(0, 12) for _ in range(rng.randint(0, 4))])[: len(b)] for _ in range(6)]
+        many = [np.array([y if rng.random() > 0.1 else 99 for y in x], "u4") for x in many]
+        got = order_minhash.near_many(many, np.array(b, "u4"), 0.7)
+        assert got.tolist() == [order_minhash.near(x, np.array(b, "u4"), 0.7) for x in many]
