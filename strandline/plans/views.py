@@ -37,20 +37,20 @@ UNION ALL SELECT 'G' || cast(n_nationkey * 5 AS STRING), 'Strong', cast(n_nation
     "v_exons": """
 SELECT 'G' || cast(l_partkey % 97 AS STRING) AS gene, 'NM_' || cast(l_partkey % 97 AS STRING) AS transcript, cast(l_orderkey % 40 + 1 AS BIGINT) AS exon, 'chr' || cast(l_partkey % 97 % 5 + 1 AS STRING) AS chrom,
   l_partkey % 97 * 211 + l_orderkey % 40 * 50 + 1 AS start, l_partkey % 97 * 211 + l_orderkey % 40 * 50 + 20 + l_orderkey % 40 % 7 * 6 AS \"end\", CASE l_partkey % 97 % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '?' END AS strand
-FROM lineitem WHERE l_linenumber = 1 GROUP BY 1, 2, 3, 4, 5, 6, 7""",
+FROM lineitem GROUP BY 1, 2, 3, 4, 5, 6, 7""",
     "v_split": """
 SELECT 'SR' || cast(o_orderkey AS STRING) AS id, CASE WHEN o_custkey % 2 = 0 THEN 'S1' ELSE 'S2' END AS sample, 'chr' || cast(o_orderkey % 5 + 1 AS STRING) AS chrom,
   (o_orderkey * 131 + o_custkey * 17) % 20000 + 1 AS start, (o_orderkey * 131 + o_custkey * 17) % 20000 + 1 + o_custkey * 7 % 400 AS \"end\" FROM orders""",
     "v_depth_iv": """
 SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'S1' ELSE 'S2' END AS sample, 'chr' || cast(l_partkey % 5 + 1 AS STRING) AS chrom,
-  (l_orderkey * 53 + l_partkey * 29) % 20000 + 1 AS start2, (l_orderkey * 53 + l_partkey * 29) % 20000 + 1 + l_suppkey * 11 % 160 AS end2 FROM lineitem WHERE l_linenumber = 1""",
+  (l_orderkey * 53 + l_partkey * 29) % 20000 + 1 AS start2, (l_orderkey * 53 + l_partkey * 29) % 20000 + 1 + l_suppkey * 11 % 160 AS end2 FROM lineitem""",
     "v_disc_iv": """
 SELECT 'DR' || cast(l_orderkey AS STRING) || '_' || cast(l_linenumber AS STRING) AS did, CASE WHEN l_suppkey % 2 = 0 THEN 'S1' ELSE 'S2' END AS sample, 'chr' || cast(l_partkey % 5 + 1 AS STRING) AS chrom,
-  (l_orderkey * 67 + l_partkey * 31) % 20000 + 1 AS start2, (l_orderkey * 67 + l_partkey * 31) % 20000 + 1 + l_suppkey * 13 % 500 AS end2 FROM lineitem WHERE l_linenumber = 2""",
-    "v_mane": "SELECT 'NM_' || cast(p_partkey AS STRING) AS transcript, 'G' || cast(p_partkey % 97 AS STRING) AS mane_gene FROM part WHERE p_partkey % 3 > 0",
+  (l_orderkey * 67 + l_partkey * 31) % 20000 + 1 AS start2, (l_orderkey * 67 + l_partkey * 31) % 20000 + 1 + l_suppkey * 13 % 500 AS end2 FROM lineitem""",
+    "v_mane": "SELECT 'NM_' || cast(CASE WHEN p_partkey % 3 > 0 THEN p_partkey ELSE -p_partkey END AS STRING) AS transcript, 'G' || cast(p_partkey % 97 AS STRING) AS mane_gene FROM part",
     "v_gtf": """
 SELECT 'NM_' || cast(l_partkey AS STRING) AS transcript, CASE l_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'other' ELSE 'G' || cast(l_partkey % 97 AS STRING) END AS gene_name, 'chr' || cast(l_partkey % 5 + 1 AS STRING) AS chrom,
-  l_orderkey * 7 % 20000 + 1 AS start, l_orderkey * 7 % 20000 + 80 AS \"end\", '+' AS strand, cast(l_linenumber AS BIGINT) AS exon FROM lineitem WHERE l_linenumber <= 2""",
+  l_orderkey * 7 % 20000 + 1 AS start, l_orderkey * 7 % 20000 + 80 AS \"end\", '+' AS strand, cast(l_linenumber AS BIGINT) AS exon FROM lineitem""",
 }
 
 

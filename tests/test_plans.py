@@ -9,6 +9,7 @@ from strandline.functions import genome as G
 from strandline.operators import depth as D
 from strandline.operators import evidence, folds, intervals, reads, regions
 from strandline.plans.queries import QUERIES, SQL
+from strandline.plans.views import view
 from strandline.sources import tables
 from tests.oracle import same
 
@@ -113,3 +114,10 @@ def test_settings_and_samples():
     assert tables.parse_settings("A=1\n# no\nB = 'x y' # note\nA=2\nnonsense") == {"A": "2", "B": "x y"}
     with pytest.raises(ValueError):
         tables.parse_samples("a\tp\na\tq")
+
+
+def test_views_read_whole_tables(spark):
+    n = {t: spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("lineitem", "part")}
+    got = {v: view(spark, SF, v).count() for v in ("v_depth_iv", "v_disc_iv", "v_gtf", "v_mane")}
+    assert got == {"v_depth_iv": n["lineitem"], "v_disc_iv": n["lineitem"], "v_gtf": n["lineitem"], "v_mane": n["part"]}
+    assert 0 < QUERIES["unmatched"](spark, SF).count() < n["part"]
