@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.intervals import interval_join
+
+BLOCK_BIN = 4096  # aligned blocks are short; a gene is a few to some hundred bins
+
 
 def pileup(reads: DataFrame, regions: DataFrame, required: int = 0, excluded: int = 4 + 256 + 512 + 1024 + 2048, min_mapq: int = 20) -> DataFrame:
     """Depth at every position of the regions (gene, chrom, start, end), zeros included.
@@ -17,18 +21,21 @@ def pileup(reads: DataFrame, regions: DataFrame, required: int = 0, excluded: in
     step = lambda acc, x: F.struct((acc["at"] + x["n"]).alias("at"), F.when(x["op"].isin("M", "=", "X"), F.concat(acc["b"], F.array(F.struct(acc["at"].alias("s"), (acc["at"] + x["n"] - 1).alias("e"))))).otherwise(acc["b"]).alias("b"))
     blocks = F.aggregate(ops, F.struct(F.col("pos").alias("at"), F.array().cast("array<struct<s:bigint,e:bigint>>").alias("b")), step, lambda acc: acc["b"])
     b = use.select("sample", F.col("chrom").alias("c"), F.explode(blocks).alias("b")).select("sample", "c", "b.s", "b.e")
-    hit = b.join(regions, (b.c == regions.chrom) & (b.s <= regions.end) & (b.e >= regions.start))
+    place = regions.select("gene", "chrom", F.col("start").alias("start2"), F.col("end").alias("end2"))
+    hit = interval_join(b.select("sample", F.col("c").alias("chrom"), F.col("s").alias("start"), F.col("e").alias("end")), place, bin_size=BLOCK_BIN)
+    hit = hit.select("sample", "gene", "chrom", F.col("start").alias("s"), F.col("end").alias("e"), F.col("start2").alias("start"), F.col("end2").alias("end"))
     delta = hit.select("sample", "gene", "chrom", "start", "end", F.explode(F.array(F.struct(F.greatest("s", "start").alias("pos"), F.lit(1).alias("d")), F.struct((F.least("e", "end") + 1).alias("pos"), F.lit(-1).alias("d")))).alias("x"))
     delta = delta.groupBy("sample", "gene", "chrom", F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d"))
-    grid = reads.select("sample").distinct().join(F.broadcast(regions)).select("sample", "gene", "chrom", F.explode(F.sequence("start", "end")).alias("pos"))
+    grid = reads.select("sample").distinct().crossJoin(regions).select("sample", "gene", "chrom", F.explode(F.sequence("start", "end")).alias("pos"))
     order = Window.partitionBy("sample", "gene").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     return grid.join(delta, ["sample", "gene", "chrom", "pos"], "left").select("sample", "gene", "chrom", "pos", F.sum(F.coalesce("d", F.lit(0))).over(order).alias("depth"))
 
 
 def gene_mean_depth(depth: DataFrame, genes: DataFrame) -> DataFrame:
     """Sum of depth over the gene's length; missing positions count as zero."""
-    inside = genes.join(depth, "gene", "left").filter("pos is null or (pos >= start and pos <= end)")
-    return inside.groupBy("gene", "start", "end").agg(F.sum(F.coalesce("depth", F.lit(0))).alias("total")).select("gene", "start", "end", (F.col("total") / (F.col("end") - F.col("start") + 1)).alias("gene_mean"))
+    inside = depth.join(genes, "gene").filter("pos between start and end").groupBy("gene", "start", "end").agg(F.sum("depth").alias("total"))
+    out = genes.select("gene", "start", "end").distinct().join(inside, ["gene", "start", "end"], "left")
+    return out.select("gene", "start", "end", (F.coalesce("total", F.lit(0)) / (F.col("end") - F.col("start") + 1)).alias("gene_mean"))
 
 
 def sliding_windows(genes: DataFrame, size: int, step: int, min_size: int) -> DataFrame:

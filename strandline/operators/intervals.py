@@ -2,28 +2,108 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.genome import overlap_length
 
 
+def bin_width(left: DataFrame, right: DataFrame) -> int:
+    """A power of two no smaller than the mean interval on either side: dealing to bins at most doubles the rows, plus one bin each."""
+    mean = lambda df, s, e: df.agg(F.avg(F.col(e) - F.col(s) + 1)).first()[0] or 1.0
+    return 1 << max(6, math.ceil(math.log2(max(mean(left, "start", "end"), mean(right, "start2", "end2"), 1.0))))
+
+
+def in_bins(df: DataFrame, bin_size: int, start: str = "start", end: str = "end") -> DataFrame:
+    """A row for each bin that [start, end] touches, with the bin's number in _bin; reversed and null intervals touch none."""
+    at = lambda c: F.floor(F.col(c) / bin_size)
+    return df.filter(F.col(start) <= F.col(end)).withColumn("_bin", F.explode(F.sequence(at(start), at(end))))
+
+
+def binned_pairs(left: DataFrame, right: DataFrame, keys: tuple[str, ...], bin_size: int, more: Column | None = None) -> DataFrame:
+    """Overlapping pairs with _bin, each in the first bin that both touch: the shuffle is by keys and bin, so crowded keys spread.
+
+    Sort-merge even where a side is small: the work is the pairs, and a broadcast would leave them to as many tasks as the other side has files.
+    ``more`` is a further condition on start, end, start2, end2, judged inside the join.
+    """
+    a, b = in_bins(left, bin_size), in_bins(right, bin_size, "start2", "end2")
+    b = b.withColumnsRenamed({c: f"_r_{c}" for c in (*keys, "_bin")})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    on += [F.col("_bin") == F.col("_r__bin"), F.col("start") <= F.col("end2"), F.col("end") >= F.col("start2")]
+    on += [F.col("_bin") == F.greatest(F.floor(F.col("start") / bin_size), F.floor(F.col("start2") / bin_size))]
+    if more is not None:
+        on.append(more)
+    return a.hint("merge").join(b, on).drop("_r__bin", *[f"_r_{k}" for k in keys])
+
+
 def interval_join(left: DataFrame, right: DataFrame, how: str = "inner", keys: tuple[str, ...] = ("chrom",), bin_size: int | None = None) -> DataFrame:
-    """Joins left (keys, start, end) with right (keys, start2, end2) on keys and overlap.
+    """Joins left (keys, start, end) with right (keys, start2, end2) on null-safe keys and overlap, in bins.
 
-    Without bin_size it is an equi-join with the overlap as residual, which Spark may broadcast by size. With it, both
-    sides are exploded to bins and a pair is kept in the first bin they share, so crowded keys spread; for
-    ``left`` and ``left_semi`` the pairs are then joined back by a row id.
+    bin_size is taken from the mean lengths where it is not given (a small aggregate of both sides). A left row's fate in
+    ``left_semi``, ``left_anti`` and ``left`` depends on its keys, start and end alone, so those are matched once
+    and joined back.
+    """
+    pairs = binned_pairs(left, right, keys, bin_size or bin_width(left, right))
+    if how == "inner":
+        return pairs.select(*left.columns, *[c for c in right.columns if c not in keys])
+    place = [*keys, "start", "end"]
+    met = pairs.select(*[F.col(c).alias(f"_m_{c}") for c in place]).distinct()
+    on = [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in place]
+    if how in ("left_semi", "left_anti"):
+        return left.join(met, on, how)
+    alone = left.join(met, on, "left_anti")
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in right.dtypes if c not in keys]
+    return pairs.select(*left.columns, *[c for c in right.columns if c not in keys]).union(alone.select(*left.columns, *nothing))
+
+
+def _matched(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """Null-safe equi-join on columns, kept once; shuffled, as the work comes after it."""
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in columns})
+    return left.hint("merge").join(right, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in columns]).drop(*[f"_r_{c}" for c in columns])
+
+
+def overlap_lists(left: DataFrame, right: DataFrame, keys: tuple[str, ...], bin_size: int, chunk: int = 4096) -> DataFrame:
+    """left (keys, start, end, ...) with _bin and items, an array of the overlapping right rows (structs with start2, end2 and the other columns).
+
+    For reports that list every overlap of a row: right is gathered by bin, in arrays of about ``chunk`` rows whatever the bin holds, and a
+    left row filters the arrays of its bins in place, so neither the pairs nor a whole bin are shuffled. Each overlap is in one array, that of
+    the first bin both touch.
     """
-    on = [left[k].eqNullSafe(right[k]) for k in keys] + [left.start <= right.end2, left.end >= right.start2]
-    if bin_size is None or how != "inner":
-        joined = left.join(right, on, how)
-        return joined if how in ("left_semi", "left_anti") else joined.select(left["*"], *[right[c] for c in right.columns if c not in keys])
-    bins = lambda df, s, e: df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(s) / bin_size), F.floor(F.col(e) / bin_size))))
-    a, b = bins(left, "start", "end"), bins(right, "start2", "end2")
-    on = [a[k] == b[k] for k in keys] + [a._bin == b._bin, a.start <= b.end2, a.end >= b.start2]
-    pairs = a.join(b, on).filter(a._bin == F.greatest(F.floor(a.start / bin_size), F.floor(b.start2 / bin_size)))
-    return pairs.select(*[a[c] for c in left.columns], *[b[c] for c in right.columns if c not in keys])
+    rows = in_bins(right, bin_size, "start2", "end2")
+    place, fields = [*keys, "_bin"], [c for c in right.columns if c not in keys]
+    sizes = rows.groupBy(*place).agg(F.ceil(F.count("*") / chunk).alias("_chunks"))
+    dealt = _matched(rows, sizes, place).withColumn("_salt", F.pmod(F.xxhash64(*fields), F.col("_chunks")))
+    lists = dealt.groupBy(*place, "_salt").agg(F.collect_list(F.struct(*fields)).alias("items")).drop("_salt")
+    here = F.col("_bin") == F.floor(F.col("start") / bin_size)  # else only what starts in this bin
+    edge = F.when(here, F.lit(-(1 << 62))).otherwise(F.col("_bin") * bin_size)
+    met = _matched(in_bins(left, bin_size), lists, place).withColumn("_edge", edge)
+    return met.withColumn("items", F.filter("items", lambda x: (x["start2"] <= F.col("end")) & (x["end2"] >= F.col("start")) & (x["start2"] >= F.col("_edge")))).drop("_edge")
+
+
+def outermost(df: DataFrame, keys: list[str], bin_size: int) -> DataFrame:
+    """df (keys, start2, end2) without intervals that lie inside another one that starts in the same bin; those never overlap anything by more."""
+    order = Window.partitionBy(*keys, F.floor(F.col("start2") / bin_size)).orderBy("start2", F.col("end2").desc())
+    top = F.max("end2").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return df.select(*keys, "start2", "end2").withColumn("_top", top).filter("_top is null or end2 > _top").drop("_top")
+
+
+def cover_pieces(df: DataFrame, keys: list[str], bin_size: int) -> DataFrame:
+    """The union of the intervals (start2, end2) of each key as disjoint pieces (keys, _bin, start2, end2), none across a bin's edge."""
+    first = F.col("_bin") * bin_size
+    cut = in_bins(df.select(*keys, "start2", "end2"), bin_size, "start2", "end2")
+    cut = cut.select(*keys, "_bin", F.greatest("start2", first).alias("start"), F.least("end2", first + bin_size - 1).alias("end")).distinct()
+    return merge_intervals(cut, [*keys, "_bin"]).withColumnsRenamed({"start": "start2", "end": "end2"})
+
+
+def binned_coverage(left: DataFrame, right: DataFrame, id_column: str, keys: tuple[str, ...], bin_size: int) -> DataFrame:
+    """(id, covered): bases of each left interval under any right one. Right is reduced to disjoint pieces first, so pairs are few."""
+    a = in_bins(left.select(id_column, *keys, "start", "end"), bin_size)
+    b = cover_pieces(right, list(keys), bin_size).withColumnsRenamed({c: f"_r_{c}" for c in (*keys, "_bin")})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in (*keys, "_bin")] + [F.col("start") <= F.col("end2"), F.col("end") >= F.col("start2")]
+    inside = F.least("end", "end2") - F.greatest("start", "start2") + 1
+    return a.hint("merge").join(b, on).groupBy(id_column).agg(F.sum(inside).alias("covered"))
 
 
 def island_ids(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", gap: int = 1) -> DataFrame:
@@ -50,14 +130,14 @@ def union_coverage(pairs: DataFrame, key: str) -> DataFrame:
 
 def subtract_intervals(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """left (key, start, end) minus the union of right (key, start2, end2): the gaps that stay."""
-    pairs = left.join(right, key).filter("start <= end2 and end >= start2")
-    ids = pairs.select(F.col(key), "start", "end", F.greatest("start", "start2").alias("s"), F.least("end", "end2").alias("e"))
-    cover = merge_intervals(ids.select(key, F.col("start").alias("l"), F.col("end").alias("r"), F.col("s").alias("start"), F.col("e").alias("end")), [key, "l", "r"])
+    pairs = interval_join(left.select(key, "start", "end"), right.select(key, "start2", "end2"), keys=(key,))
+    clipped = pairs.select(key, F.col("start").alias("l"), F.col("end").alias("r"), F.greatest("start", "start2").alias("start"), F.least("end", "end2").alias("end"))
+    cover = merge_intervals(clipped, [key, "l", "r"])
     order = Window.partitionBy(key, "l", "r").orderBy("start")
     gaps = cover.withColumn("next", F.coalesce(F.lead("start").over(order) - 1, F.col("r"))).withColumn("prev", F.lag("end").over(order))
     inner = gaps.select(key, (F.col("end") + 1).alias("start"), F.col("next").alias("end"))
     head = gaps.filter("prev is null").select(key, F.col("l").alias("start"), (F.col("start") - 1).alias("end"))
-    whole = left.join(pairs.select(key, "start", "end").distinct(), [key, "start", "end"], "left_anti").select(key, "start", "end")
+    whole = interval_join(left.select(key, "start", "end"), right.select(key, "start2", "end2"), "left_anti", keys=(key,))
     return inner.union(head).filter("start <= end").union(whole)
 
 
