@@ -29,22 +29,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.common import stash
 
 BREAK = re.compile(r"(?<=\S)(?= )")
-SPACES = re.compile(r"\s ")
+#: A blank or control character before a space (RE2): such texts are cut by BREAK, all others at each space.
+ODD = r"[\s\v\x1c-\x1f\x85\p{Z}] "
 #: Chunks a worker keeps, at about 160 bytes each.
 MEMO_SIZE = 800_000
+#: Chunks encoded as one text: a call for each would cost as much as the merges.
+JOINED = 4000
 
 
 class Encoder:
     """Token ids, as little-endian unsigned 32-bit bytes, of texts under a tokenizers file.
 
     A byte-level BPE splits text before a space that follows a non-space, so chunks between such
-    places are encoded apart, and each different chunk once: a memo of at most ``memo_size`` chunks
+    places are encoded apart, and each different chunk once: texts are split and their chunks numbered by Arrow, only
+    different chunks pass through Python, and ids are gathered by number. A memo of at most ``memo_size`` chunks
     is kept by the worker, and emptied when full.
     """
 
@@ -54,6 +60,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocab = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)  # by id; a byte is one character of the vocabulary
+        for token, i in vocab.items():
+            self.n_bytes[i] = len(token)
         self.memo: dict[str, bytes] = {}  # by what follows the chunk's first space
         self.memo_size = memo_size
 
@@ -64,25 +74,46 @@ class Encoder:
                 x.byteswap()
         return [x.tobytes() for x in found]
 
-    def chunks(self, text: str) -> tuple[str, list[str]]:
-        """The text up to its first break, and what follows the space of each later chunk."""
-        if "  " in text or SPACES.search(text):
-            first, *rest = BREAK.split(text)
-            return first, [x[1:] for x in rest]
-        first, *rest = text.split(" ")
-        return first, rest
+    def learn(self, rests: list[str]) -> None:
+        """Puts the ids of " " + x into the memo. Those that end in a blank, which could join the next space, are encoded apart."""
+        apart = [x for x in rests if not x or x[-1].isspace()]
+        self.memo.update(zip(apart, self.whole([" " + x for x in apart]), strict=True))
+        rests = [x for x in rests if x and not x[-1].isspace()]
+        for at in range(0, len(rests), JOINED):
+            part = rests[at : at + JOINED]
+            ids = self.whole([" " + " ".join(part)])[0]
+            ends = np.cumsum(np.fromiter((len(x.encode()) + 1 for x in part), np.int64, len(part)))
+            stops = (4 * np.searchsorted(np.cumsum(self.n_bytes[np.frombuffer(ids, "<u4")]), ends) + 4).tolist()
+            self.memo.update(zip(part, [ids[i:j] for i, j in zip([0, *stops], stops, strict=False)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.chunks(x) for x in texts]
-        needed = set()
-        for _, rest in split:
-            needed.update(rest)
+        own = pa.array(texts, pa.large_string())
+        odd = np.asarray(pc.match_substring_regex(own, ODD))
+        lists = pc.split_pattern(own, " ")
+        if odd.any():
+            cut = [BREAK.split(x) for x in own.filter(pa.array(odd)).to_pylist()]
+            parts = lists.to_pylist()
+            for i, (first, *rest) in zip(np.flatnonzero(odd).tolist(), cut, strict=True):
+                parts[i] = [first, *(x[1:] for x in rest)]
+            lists = pa.array(parts, pa.large_list(pa.large_string()))
+        begin = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        heads = np.zeros(begin[-1], bool)
+        heads[begin[:-1]] = True
+        flat = lists.flatten()
+        first = self.whole(flat.filter(pa.array(heads)).to_pylist())
+        chunks = flat.filter(pa.array(~heads)).dictionary_encode()
+        known, number = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
         if len(self.memo) > self.memo_size:
             self.memo.clear()
-        missing = [x for x in needed if x not in self.memo]
-        self.memo.update(zip(missing, self.whole([" " + x for x in missing]), strict=True))
-        heads, get = self.whole([first for first, _ in split]), self.memo.__getitem__
-        return [head + b"".join(map(get, rest)) for head, (_, rest) in zip(heads, split, strict=True)]
+        self.learn([x for x in known if x not in self.memo])
+        ids = list(map(self.memo.__getitem__, known))
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ids, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(n) - n
+        each = n[number]
+        stop = np.cumsum(each)
+        ids = ids[np.repeat(start[number] - stop + each, each) + np.arange(stop[-1] if len(stop) else 0)]
+        edge = np.concatenate([[0], stop])[begin - np.arange(len(begin))].tolist()
+        return [head + ids[i:j].tobytes() for head, i, j in zip(first, edge, edge[1:], strict=False)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -90,14 +121,20 @@ def encoder(path: str, memo_size: int) -> Encoder:
     return Encoder(path, memo_size)
 
 
+def by_size(batch: pd.DataFrame, limit: int) -> Iterator[pd.DataFrame]:
+    """Runs of rows whose texts have about ``limit`` characters."""
+    if len(batch):
+        for _, rows in batch.groupby(batch["text"].str.len().cumsum() // limit, sort=False):
+            yield rows
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 0, memo_size: int = MEMO_SIZE) -> DataFrame:
     """docs (doc_id, text) -> doc_id, piece, start, length, ids_crc32; only the first piece may be shorter."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
+            for part in by_size(batch, 4 << 20):
                 rows = []
                 for doc_id, ids in zip(part["doc_id"], encoder(tokenizer, memo_size).encode(part["text"].tolist()), strict=True):
                     ids += end
