@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,11 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where neither the setting nor a checkpoint folder exists (tests, a single machine) a
-    temporary folder is made and set.
+    Only in a local session (tests, one process) without that setting and without a checkpoint folder a temporary folder is
+    made and set; on a cluster its lack is an error, as executors could not see such a folder.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="strandline-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -30,12 +33,24 @@ def shared_dir(spark: SparkSession) -> str:
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and reads it back.
 
-    This cuts the lineage, gives later plans real sizes, and survives the loss of executors.
+    This cuts the lineage, gives later plans real sizes, and survives the loss of executors. ``discard`` deletes it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stashed = path
+    return out
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Deletes the files of stashed frames; for intermediates all of whose readers have been written themselves."""
+    for df in frames:
+        path = getattr(df, "_stashed", None)
+        if path:
+            jvm = df.sparkSession._jvm.org.apache.hadoop.fs
+            at = jvm.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def small_batches(spark: SparkSession, limit: int = 8 << 20) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import stash
+from strandline.llm.common import discard, stash
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,6 +21,9 @@ def components(edges: DataFrame) -> DataFrame:
         lower = stash(labels.join(near, labels.node == near.a).select("node", F.least("label", "low").alias("label"), F.col("label").alias("was")), "labels")
         up = lower.select(F.col("node").alias("label"), F.col("label").alias("top"))
         new = stash(lower.join(up, "label").select("node", F.least("label", "top").alias("label"), "was"), "labels")
+        discard(labels, lower)
+        labels = new.drop("was")
+        labels._stashed = new._stashed
         if new.filter("label <> was").isEmpty():
-            return new.select("node", "label")
-        labels = new.select("node", "label")
+            discard(links)
+            return labels

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import small_batches, stash
+from strandline.llm.common import discard, small_batches, stash
 from strandline.llm.graph import components
 
 DROPPED = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -269,13 +269,17 @@ def candidate_pairs(bands: DataFrame, pair_limit: int) -> tuple[DataFrame, DataF
     # neighbours in the order of the next band: the first text with each (band, next), and within it the leader
     inner = stash(large.groupBy("band", "next").agg(F.min("key").alias("first"), F.count("*").alias("m")).filter("m > 1"), "inner-bands")
     inside = large.join(inner, ["band", "next"]).select(F.col("first").alias("a"), F.col("key").alias("b"))
-    return some.union(star).union(inside).filter("a < b").distinct(), large.select("band", "key").distinct()
+    pairs = stash(some.union(star).union(inside).filter("a < b").distinct(), "pairs")
+    large = stash(large.select("band", "key").distinct(), "large-bands")
+    discard(groups, shared, inner)
+    return pairs, large
 
 
 def text_words(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(key, words) of the texts with a pair."""
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(stash(wanted, "wanted").hint("shuffle_hash"), "key", "left_semi")
+    wanted = stash(wanted, "wanted")
+    texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(wanted.hint("shuffle_hash"), "key", "left_semi")
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -287,7 +291,9 @@ def text_words(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 hashes = (hashes >> np.uint64(32)).astype("<u4")
                 yield pd.DataFrame({"key": part["key"].to_numpy(), "words": [hashes[e - c : e].tobytes() for c, e in zip(n, ends, strict=True)]})
 
-    return stash(texts.mapInPandas(words, "key string, words binary").dropDuplicates(["key"]), "words")
+    out = stash(texts.mapInPandas(words, "key string, words binary").dropDuplicates(["key"]), "words")
+    discard(wanted)
+    return out
 
 
 def verified_links(own: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -334,7 +340,10 @@ def late_links(large: DataFrame, labels: DataFrame, own: DataFrame, similarity:
                         out.append((min(key[i], key[j]), max(key[i], key[j])))
         return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
-    return dealt.join(stash(known, "unresolved-words"), "key").groupBy("band", "lo", "hi").applyInPandas(compare, "a string, b string").distinct()
+    known = stash(known, "unresolved-words")
+    out = stash(dealt.join(known, "key").groupBy("band", "lo", "hi").applyInPandas(compare, "a string, b string").distinct(), "late-links")
+    discard(members, left, known)
+    return out
 
 
 def merged_groups(groups: DataFrame, more: DataFrame) -> DataFrame:
@@ -343,8 +352,11 @@ def merged_groups(groups: DataFrame, more: DataFrame) -> DataFrame:
     ends = stash(ends.join(groups, "key", "left").select("key", F.coalesce("label", "key").alias("label")), "late-ends")
     low, high = ends.toDF("a", "low"), ends.toDF("b", "high")
     edges = more.join(low, "a").join(high, "b").select(F.col("low").alias("a"), F.col("high").alias("b")).filter("a <> b").distinct()
-    tops = components(edges).toDF("label", "top")
-    return groups.union(ends).distinct().join(tops, "label", "left").select("key", F.coalesce("top", "label").alias("label"))
+    tops = components(edges)
+    out = groups.union(ends).distinct().join(tops.toDF("label", "top"), "label", "left").select("key", F.coalesce("top", "label").alias("label"))
+    out = stash(out, "groups")
+    discard(ends, tops)
+    return out
 
 
 def named_classes(docs: DataFrame, k: int = 5, length: int = 2, rows: int = 2, bands: int = 16, similarity: float = 0.8, pair_limit: int = 32) -> DataFrame:
@@ -353,15 +365,22 @@ def named_classes(docs: DataFrame, k: int = 5, length: int = 2, rows: int = 2, b
     texts = docs.select("doc_id", "text")
     found = stash(band_rows(texts, k, length, rows, bands).distinct(), "bands")
     pairs, large = candidate_pairs(found, pair_limit)
-    pairs = stash(pairs, "pairs")
+    discard(found)
     own = text_words(texts, pairs)
     links = stash(verified_links(own, pairs, similarity), "near-links")
-    groups = components(links).select(F.col("node").alias("key"), F.col("label"))
-    more = stash(late_links(large, groups, own, similarity), "late-links")
+    discard(pairs)
+    tops = components(links)
+    groups = stash(tops.toDF("key", "label"), "groups")
+    discard(links, tops)
+    more = late_links(large, groups, own, similarity)
+    discard(own, large)
     if not more.isEmpty():
-        groups = merged_groups(groups, more)
-    copies = stash(texts.select("doc_id", text_key(F.col("text")).alias("key")), "copies")
-    return stash(copies.join(groups, "key", "left").select("doc_id", "key", F.coalesce("label", "key").alias("class_key")), "named")
+        first, groups = groups, merged_groups(groups, more)
+        discard(first)
+    named = texts.select("doc_id", text_key(F.col("text")).alias("key")).join(groups, "key", "left")
+    named = stash(named.select("doc_id", "key", F.coalesce("label", "key").alias("class_key")), "named")
+    discard(more, groups)
+    return named
 
 
 def classes(docs: DataFrame, **options) -> DataFrame:
@@ -378,6 +397,7 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     rows = stash(found.groupBy("class_key", "doc_id", "key").agg(F.count("*").alias("rows")), "class-rows")
     kept = rows.groupBy("class_key").agg(F.min(F.struct(order.alias("o"), "rows")).alias("x"))
     kept = stash(kept.select(F.col("x.o.doc_id").alias("_id"), F.col("x.o.key").alias("_key"), F.col("x.rows").alias("_rows")), "kept")
+    discard(found, rows)
     named = docs.withColumn("_k", text_key(F.col("text")))
     out = named.join(kept.hint("shuffle_hash"), named.doc_id.eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")))
     once = out.filter("_rows = 1").select(*docs.columns)

@@ -13,7 +13,9 @@ on that bound and is broadcast; texts are scored where they are read, with no sh
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0, and so is everything if
 no labelled text exists. Ties go to the first language in code point order. Bytes never seen in
-training cost the escapes and a uniform byte. Repeated rows get equal results.
+training cost the escapes and a uniform byte. Repeated rows get equal results. Input columns named like the results are
+replaced by them; other extra columns pass through. ``min_count`` of fit drops contexts of 3 and more bytes that occur once; the README has
+what that costs.
 """
 
 from __future__ import annotations
@@ -116,9 +118,9 @@ def code_lengths(model: Model, texts: list[bytes], segment: int = 1024) -> np.nd
     return out
 
 
-def predict(model: Model, texts: list[str | None], batch_bytes: int = 12 << 20) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text. The score is a softmax of code lengths over the root of the length."""
-    langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+def predict(model: Model, texts: list[str | None], batch_bytes: int = 12 << 20) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and bits a byte of each text (NaN where nothing was judged). The score is a softmax of code lengths over the root of the length."""
+    langs, scores, rates = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan)
     todo = [i for i, x in enumerate(texts) if x is not None and model.langs and any(map(str.isalpha, x))]
     while todo:
         now, n = [], 0
@@ -129,9 +131,9 @@ def predict(model: Model, texts: list[str | None], batch_bytes: int = 12 << 20)
         best = bits.argmin(axis=1)
         over = (bits - bits.min(axis=1, keepdims=True)) / np.sqrt([[len(x)] for _, x in now])
         sure = 1 / np.exp2(-over).sum(axis=1)
-        for (i, _), b, s in zip(now, best, sure, strict=True):
-            langs[i], scores[i] = model.langs[b], s
-    return langs, scores
+        for (i, x), b, s, cost in zip(now, best, sure, bits.min(axis=1), strict=True):
+            langs[i], scores[i], rates[i] = model.langs[b], s, cost / len(x)
+    return langs, scores, rates
 
 
 def held_out(doc_id: Column) -> Column:
@@ -151,15 +153,19 @@ def training_sample(docs: DataFrame, docs_per_lang: int) -> dict[str, list[bytes
 
 
 def identify(docs: DataFrame, docs_per_lang: int = 300, order: int = 4) -> DataFrame:
-    """docs (doc_id, text, lang, ...) -> the same columns, held_out, lang_pred, score."""
+    """docs (doc_id, text, lang, ...) -> the same columns, held_out, lang_pred, score, bits (a byte, under lang_pred; null where nothing was judged).
+
+    Columns of docs with one of these four names are replaced.
+    """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(fit(training_sample(docs, docs_per_lang), order))
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, bits double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            langs, scores = predict(model.value, [None if x is None else x for x in texts.tolist()])
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+            langs, scores, rates = predict(model.value, [None if x is None else x for x in texts.tolist()])
+            yield pd.DataFrame({"lang_pred": langs, "score": scores, "bits": rates})
 
-    out = docs.withColumn("_judged", judge(F.col("text"))).withColumn("held_out", held_out(F.col("doc_id")))
-    return out.select(*docs.columns, "held_out", F.col("_judged.lang_pred").alias("lang_pred"), F.col("_judged.score").alias("score"))
+    out = docs.select(F.struct("*").alias("_row"), judge.asNondeterministic()(F.col("text")).alias("_judged"))  # else a filter on it runs it twice
+    kept = [F.col(f"_row.`{c}`") for c in docs.columns if c not in ("held_out", "lang_pred", "score", "bits")]
+    return out.select(*kept, held_out(F.col("_row.doc_id")).alias("held_out"), "_judged.lang_pred", "_judged.score", F.nanvl("_judged.bits", F.lit(None)).alias("bits"))

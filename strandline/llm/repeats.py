@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import small_batches, stash
+from strandline.llm.common import discard, small_batches, stash
 from strandline.llm.order_minhash import MULTIPLIER, _powers, mix
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * MULTIPLIER)
@@ -196,7 +196,8 @@ def anchor_rows(docs: DataFrame, min_bytes: int) -> DataFrame:
 def segments_of(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
     """The bytes of the wanted segments (k, n, anchor, pos, lo, hi, size)."""
     by_text = wanted.groupBy(F.col("k").alias("wk"), F.col("n").alias("wn")).agg(F.collect_list(F.struct("anchor", "pos", "lo", "hi", "size")).alias("wanted"))
-    joined = docs.select("k", "n", "text").join(stash(by_text, "wanted"), (F.col("k") == F.col("wk")) & (F.col("n") == F.col("wn"))).select("k", "n", "text", "wanted")
+    by_text = stash(by_text, "wanted")
+    joined = docs.select("k", "n", "text").join(by_text, (F.col("k") == F.col("wk")) & (F.col("n") == F.col("wn"))).select("k", "n", "text", "wanted")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done = set()
@@ -210,16 +211,31 @@ def segments_of(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame
                         out += [(k, n, w["anchor"], w["pos"], w["lo"], w["hi"], w["size"], data[w["lo"] : w["hi"] + min_bytes]) for w in wanted]
                 yield pd.DataFrame(out, columns=["k", "n", "anchor", "pos", "lo", "hi", "size", "bytes"])
 
-    return joined.mapInPandas(cut, "k long, n long, anchor long, pos long, lo long, hi long, size long, bytes binary")
+    out = stash(joined.mapInPandas(cut, "k long, n long, anchor long, pos long, lo long, hi long, size long, bytes binary"), "segment-texts")
+    discard(by_text)
+    return out
+
 
+def later_ones(rows: list[tuple], rank: np.ndarray, length: int, segment: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments, starts and stops of a repeat's occurrences but the first by (text, place), as far as they do not overlap that one."""
+    place = start + np.array([rows[i][3] for i in segment])
+    first = np.lexsort((place, rank[segment]))[0]
+    begin = np.where(rank[segment] == rank[segment[first]], np.maximum(start, start + place[first] + length - place), start)
+    other = (begin < start + length) & (np.arange(len(start)) != first)
+    return segment[other], begin[other], (start + length)[other]
 
-def sorted_groups(segments: DataFrame, min_bytes: int, batch_bytes: int = 1 << 19) -> DataFrame:
+
+def sorted_groups(segments: DataFrame, min_bytes: int, keep_first: bool = False, batch_bytes: int = 1 << 19) -> DataFrame:
     """Spans (k, n, start, stop) of repeats within groups, by suffix arrays over whole groups at a time."""
 
     def solve(rows: list[tuple]) -> pd.DataFrame:
         out = []
+        texts = sorted({x[1:3] for x in rows})
+        number = dict(zip(texts, range(len(texts)), strict=True))
+        rank = np.array([number[x[1:3]] for x in rows])
         for length, segment, start in maximal_repeats([x[4] for x in rows], min_bytes):
-            out.append(np.stack([segment, start, start + length], axis=1))
+            spans = later_ones(rows, rank, length, segment, start) if keep_first else (segment, start, start + length)
+            out.append(np.stack(spans, axis=1))
         found = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
         found = found[np.argsort(found[:, 0], kind="stable")]
         spans = []
@@ -244,7 +260,13 @@ def sorted_groups(segments: DataFrame, min_bytes: int, batch_bytes: int = 1 << 1
     return ordered.mapInPandas(work, "k long, n long, start long, stop long")
 
 
-def bisected_groups(segments: DataFrame, min_bytes: int) -> DataFrame | None:
+def after_first(lo, stop, first, pos):
+    """Start of what goes of the later occurrence [lo, stop) at anchor ``pos`` whose first one is at the anchor ``first``: what does not overlap that one."""
+    own = (first["k"] == F.col("k")) & (first["n"] == F.col("n"))
+    return F.when(own, F.greatest(lo, stop - pos + first["pos"])).otherwise(lo)
+
+
+def bisected_groups(segments: DataFrame, min_bytes: int, keep_first: bool = False) -> DataFrame | None:
     """The same spans for groups of any size: ranges of starts, relative to the anchor, are halved level by level."""
     width = 1 << (min_bytes - 1).bit_length()
     schema = "k long, n long, anchor long, pos long, lo long, hi long, bytes binary, cell long, core long, whole long"
@@ -277,10 +299,17 @@ def bisected_groups(segments: DataFrame, min_bytes: int) -> DataFrame | None:
         kinds = stash(cells.groupBy("anchor", "cell", "core", "whole").agg(F.min(where).alias("first"), F.max(where).alias("last")), "kinds")
         cores = stash(kinds.groupBy("anchor", "cell", "core").agg(F.count("*").alias("kinds"), F.max((F.col("first") != F.col("last")).cast("int")).alias("same")).filter("kinds > 1 or same = 1"), "cores")
         if cores.isEmpty():
+            discard(cells, kinds, cores)
             break
         judged = kinds.join(cores, ["anchor", "cell", "core"])
-        judged = stash(cells.join(judged.drop("same"), ["anchor", "cell", "core", "whole"]), "judged")
-        found.append(stash(judged.filter("first <> last").select("k", "n", F.col("lo").alias("start"), (F.col("hi") + min_bytes).alias("stop")), "found"))
+        before, judged = (judged_before if found else None), stash(cells.join(judged.drop("same"), ["anchor", "cell", "core", "whole"]), "judged")
+        discard(cells, kinds, cores, before)
+        judged_before = judged
+        stop = F.col("hi") + min_bytes
+        hit = judged.filter("first <> last")
+        if keep_first:
+            hit = hit.filter(where != F.col("first")).withColumn("lo", after_first(F.col("lo"), stop, F.col("first"), F.col("pos")))
+        found.append(stash(hit.select("k", "n", F.col("lo").alias("start"), stop.alias("stop")).filter("start < stop"), "found"))
         # one occurrence of each kind goes on, as a partner or to be resolved
         rows = judged.filter((F.col("kinds") > 1) & (where == F.col("first"))).select("k", "n", "anchor", "pos", "lo", "hi", "bytes")
         size //= 2
@@ -290,27 +319,44 @@ def bisected_groups(segments: DataFrame, min_bytes: int) -> DataFrame | None:
     return out
 
 
-def repeated_spans(docs: DataFrame, min_bytes: int = 400, group_limit: int = 1024) -> DataFrame:
-    """docs with k, n, text -> (k, n, spans): the spans of each different text that repeat, sorted and disjoint."""
+def repeated_spans(docs: DataFrame, min_bytes: int = 400, group_limit: int = 1024, keep_first: bool = False) -> DataFrame:
+    """docs with k, n, text -> (k, n, spans): the spans of each different text that repeat, sorted and disjoint; written.
+
+    keep_first leaves each repeat's first occurrence, by (k, n, place). Equal texts count as one text then.
+    """
     rows = stash(anchor_rows(docs, min_bytes), "anchors")
     where = F.struct("k", "n", "pos", "lo", "hi")
     kinds = rows.groupBy("anchor", "seg").agg(F.min(where).alias("first"), F.max(where).alias("last"))
     kinds = stash(kinds.withColumn("same", F.col("first") != F.col("last")), "segments")
-    groups = kinds.groupBy("anchor").agg(F.count("*").alias("size"), F.min("same").alias("all_same")).filter((F.col("size") > 1) & ~F.col("all_same"))
-    wanted = kinds.join(stash(groups.select("anchor", "size"), "groups"), "anchor").select("anchor", "size", "first.*")
-    segments = stash(segments_of(docs, wanted, min_bytes), "segment-texts")
-    repeated = rows.join(stash(kinds.filter("same").select("anchor", "seg"), "same-segments"), ["anchor", "seg"], "left_semi")
-    spans = repeated.select("k", "n", F.col("lo").alias("start"), (F.col("hi") + min_bytes).alias("stop"))
-    spans = spans.union(sorted_groups(segments.filter(F.col("size") <= group_limit), min_bytes))
+    groups = kinds.groupBy("anchor").agg(F.count("*").alias("size"), F.min("same").alias("all_same")).filter((F.col("size") > 1) & (F.lit(keep_first) | ~F.col("all_same")))
+    groups = stash(groups.select("anchor", "size"), "groups")
+    segments = segments_of(docs, kinds.join(groups, "anchor").select("anchor", "size", "first.*"), min_bytes)
+    discard(groups)
+    again = rows.join(kinds.filter("same").select("anchor", "seg", "first"), ["anchor", "seg"])
+    start, stop = F.col("lo"), F.col("hi") + min_bytes
+    if keep_first:
+        again = again.filter(where != F.col("first"))
+        start = after_first(start, stop, F.col("first"), F.col("pos"))
+    parts = [stash(again.select("k", "n", start.alias("start"), stop.alias("stop")).filter("start < stop"), "same-segments")]
+    discard(rows, kinds)
+    parts.append(stash(sorted_groups(segments.filter(F.col("size") <= group_limit), min_bytes, keep_first), "sorted-spans"))
     large = stash(segments.filter(F.col("size") > group_limit), "large-groups")
-    if not large.isEmpty() and (more := bisected_groups(large, min_bytes)) is not None:
-        spans = spans.union(more)
-    copies = docs.filter(F.col("n") >= min_bytes).groupBy("k", "n").count().filter("count > 1")
-    spans = spans.union(copies.select("k", "n", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop")))
-    return spans.distinct().groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    discard(segments)
+    if not large.isEmpty() and (more := bisected_groups(large, min_bytes, keep_first)) is not None:
+        parts.append(stash(more, "bisected-spans"))
+    discard(large)
+    spans = parts[0]
+    for x in parts[1:]:
+        spans = spans.union(x)
+    if not keep_first:
+        copies = docs.filter(F.col("n") >= min_bytes).groupBy("k", "n").count().filter("count > 1")
+        spans = spans.union(copies.select("k", "n", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop")))
+    out = stash(spans.distinct().groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans")), "spans")
+    discard(*parts)
+    return out
 
 
-def _removed(docs: DataFrame, min_bytes: int, group_limit: int, kept_type: str) -> DataFrame:
+def _removed(docs: DataFrame, min_bytes: int, group_limit: int, kept_type: str, keep_first: bool = False) -> DataFrame:
     """(_row: the whole row, text, n, _has: something repeats, _cut: spans, kept); the row keeps any column names.
 
     Only texts in which something repeats go through Python; _cut is null for the rest. kept_type string drops
@@ -318,7 +364,7 @@ def _removed(docs: DataFrame, min_bytes: int, group_limit: int, kept_type: str)
     """
     small_batches(docs.sparkSession)
     named = _identified(docs.select("text", F.struct("*").alias("_row")))
-    spans = stash(repeated_spans(named, min_bytes, group_limit), "spans").withColumnsRenamed({"k": "sk", "n": "sn"})
+    spans = repeated_spans(named, min_bytes, group_limit, keep_first).withColumnsRenamed({"k": "sk", "n": "sn"})
 
     @F.pandas_udf(f"spans array<struct<start:long,stop:long>>, kept {kept_type}")
     def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -351,13 +397,14 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 400, group_limit: int = 102
     return out.select("_row.*", F.col("n").alias("n_bytes"), spans.alias("removed_spans"), kept.alias("kept_bytes"))
 
 
-def drop_repeats(docs: DataFrame, min_bytes: int, group_limit: int = 1024) -> DataFrame:
-    """docs with the repeats cut out of their texts (and n_chars set anew); documents of which no word is left go.
+def drop_repeats(docs: DataFrame, min_bytes: int, group_limit: int = 1024, keep_first: bool = True) -> DataFrame:
+    """docs with the repeats cut out of their texts (and n_chars set anew), but by default for their first occurrence, which stays in one
+    text (the smallest by hash; equal texts count as one); documents of which no word is left go.
 
     A cut through a character drops the rest of that character.
     """
     changed = F.col("_has")
-    out = _removed(docs, min_bytes, group_limit, "string").withColumn("_text", F.when(changed, F.col("_cut.kept")).otherwise(F.col("text")))
+    out = _removed(docs, min_bytes, group_limit, "string", keep_first).withColumn("_text", F.when(changed, F.col("_cut.kept")).otherwise(F.col("text")))
     out = out.filter(~changed | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
     columns = {"text": F.col("_text"), "n_chars": F.when(changed, F.length("_text").cast("long")).otherwise(F.col("_row.n_chars") if "n_chars" in docs.columns else F.lit(None))}
     return out.select(*[columns[c].alias(c) if c in columns else F.col(f"_row.`{c}`") for c in docs.columns])

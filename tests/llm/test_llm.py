@@ -69,6 +69,36 @@ def test_repeats_equal_brute_force(spark, limit):
     assert [bytes(r["kept_bytes"]) for r in got] == brute_repeats([(t or "").encode() for t in texts], 40)
 
 
+def brute_later_repeats(texts, keys, n):
+    """Cut by every string of n bytes but its first occurrence, by key of the text and place; strings that overlap themselves are not handled."""
+    where = {}
+    for i, x in enumerate(texts):
+        for p in range(len(x) - n + 1):
+            where.setdefault(x[p : p + n], []).append((keys[i], i, p))
+    keep = [bytearray(b"\1" * len(x)) for x in texts]
+    for places in where.values():
+        for _, i, p in sorted(places)[1:]:
+            keep[i][p : p + n] = b"\0" * n
+    return [bytes(b for b, k in zip(x, own, strict=True) if k) for x, own in zip(texts, keep, strict=True)]
+
+
+@pytest.mark.parametrize("limit", [1024, 2])
+def test_first_occurrences_stay(spark, limit):
+    rng = random.Random(12)
+    say = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    common, other = say(90), say(70)
+    texts = [say(rng.randint(1, 60)) + common[rng.randint(0, 20) : rng.randint(60, 90)] + say(rng.randint(1, 60)) + (other if i % 3 else "") for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keys = [r["k"] for r in docs.select("doc_id", F.xxhash64("text").alias("k")).orderBy("doc_id").collect()]
+    want = brute_later_repeats([t.encode() for t in texts], keys, 40)
+    got = {r["doc_id"]: r["text"].encode() for r in repeats.drop_repeats(docs, 40, limit).collect()}
+    assert got == {i: x for i, x in enumerate(want) if x.strip()}
+    assert sum(other[:50].encode() in x for x in got.values()) == 1
+    phrase = spark.createDataFrame([(1, "again and " * 60), (2, "again and " * 50)], "doc_id long, text string")
+    left = [r["text"] for r in repeats.drop_repeats(phrase, 40, limit).collect()]
+    assert len(left) == 1 and left[0].startswith("again and again and again and again and ") and len(left[0]) < 120
+
+
 def test_maximal_repeats_are_maximal():
     found = repeats.maximal_repeats([b"xxabcdefghijklmnopyy", b"zzabcdefghijklmnopww"], 8)
     assert [(n, sorted(zip(s.tolist(), p.tolist(), strict=True))) for n, s, p in found] == [(16, [(0, 2), (1, 2)])]
@@ -148,6 +178,18 @@ def test_chunked_ids_equal_whole_ids():
     assert encoder.encode(texts) == encoder.whole(texts) == encoder.encode(texts)
 
 
+def test_pieces_hold_the_ids_of_whole_texts(spark, odd):
+    import zlib
+
+    encoder = packing.Encoder(byte_bpe(), packing.MEMO_SIZE)
+    rows = packing.token_pieces(odd, byte_bpe()).collect()
+    texts = {r["doc_id"]: r["text"] for r in odd.collect() if r["doc_id"] is not None}
+    for r in rows:
+        if r["doc_id"] is not None:
+            ids = encoder.whole([texts[r["doc_id"]] or ""])[0] + b"\0\0\0\0"
+            assert r["ids_crc32"] == zlib.crc32(ids[4 * r["start"] : 4 * (r["start"] + r["length"])])
+
+
 def test_plan_uses_every_piece_once():
     rng = np.random.default_rng(0)
     for _ in range(3):
@@ -169,6 +211,41 @@ def test_language_accuracy_and_edges(spark, odd):
     r = {x["text"]: x["lang_pred"] for x in ppm.identify(odd.select("doc_id", "text", "lang")).collect()}
     assert r[None] == r[""] == r["12 34"] == "und" and r["x"] != "und"
     assert ppm.identify(odd.limit(0).select("doc_id", "text", "lang")).count() == 0
+    clash = ppm.identify(odd)  # has a column score
+    assert clash.columns.count("score") == 1 and clash.schema["score"].dataType.typeName() == "double" and clash.filter("score > 1").count() == 0
+
+
+def brute_bits(train, text, order):
+    """PPM-C of frozen counts by a dictionary of contexts: the longest context seen, an escape for each one that lacks the byte, at last a uniform byte."""
+    counts = {}
+    for x in train:
+        for i in range(len(x)):
+            for k in range(min(order, i) + 1):
+                own = counts.setdefault(x[i - k : i], Counter())
+                own[x[i]] += 1
+    bits = 0.0
+    for i, byte in enumerate(text):
+        for k in range(min(order, i), -1, -1):
+            own = counts.get(text[i - k : i])
+            if own:
+                total, kinds = sum(own.values()), len(own)
+                if byte in own:
+                    bits += np.log2((total + kinds) / own[byte])
+                    break
+                bits += np.log2((total + kinds) / kinds)
+        else:
+            bits += 8
+    return bits
+
+
+def test_code_lengths_equal_a_dictionary_of_contexts():
+    rng = random.Random(9)
+    say = lambda letters, n: bytes(rng.choice(letters) for _ in range(n))
+    train = {"a": [say(b"abc ", 200), say(b"abd ", 90)], "b": [say(b"xyzab", 150), b"", b"q"]}
+    model = ppm.fit(train, 3, 1)
+    texts = [say(b"abc ", 50), say(b"xyzq", 40), b"", b"!?", say(b"abcdxyz!", 80)]
+    want = [[brute_bits(train[lang], x, 3) for lang in ("a", "b")] for x in texts]
+    assert np.allclose(ppm.code_lengths(model, texts, 16), want, rtol=1e-5)
 
 
 def test_code_lengths_do_not_depend_on_segments():
