@@ -53,7 +53,7 @@ def discard(*frames: DataFrame | None) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def small_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
+def small_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
     """Arrow batches of at most ``limit`` bytes in this session, unless it asks for smaller ones already.
 
     Texts are long and an executor runs several Python workers, each of which holds a batch and its copies.

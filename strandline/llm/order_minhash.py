@@ -39,6 +39,7 @@ from strandline.llm.graph import components
 DROPPED = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SPACES = b" \t\n\r\x0b\x0c"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+PART = 1 << 18  # characters of texts that are hashed at once
 BINS, BLOCK = 512, 256  # of the histograms of words, and texts in a block of an unresolved group
 
 
@@ -245,8 +246,8 @@ def band_rows(docs: DataFrame, k: int, length: int, rows: int, bands: int) -> Da
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sizes = batch["text"].str.len().fillna(0).to_numpy().cumsum()
-            for part in np.unique(sizes // (1 << 20)):
-                own = batch[sizes // (1 << 20) == part]
+            for part in np.unique(sizes // PART):
+                own = batch[sizes // PART == part]
                 at, s = sketches(own["text"].tolist(), k, length, rows * bands)
                 s = s.reshape(len(at), bands, rows)
                 value = np.zeros((len(at), bands), np.uint64)
@@ -284,8 +285,9 @@ def text_words(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch.drop_duplicates("key")
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
+            sizes = batch["text"].str.len().fillna(0).to_numpy().cumsum()
+            for at in np.unique(sizes // PART):
+                part = batch[sizes // PART == at]
                 hashes, n = word_hashes(part["text"].tolist())
                 ends = np.cumsum(n)
                 hashes = (hashes >> np.uint64(32)).astype("<u4")

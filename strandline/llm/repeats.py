@@ -176,7 +176,7 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.withColumn("k", F.xxhash64(text)).withColumn("n", F.octet_length(text).cast("long"))
 
 
-def _by_size(batch: pd.DataFrame, limit: int = 1 << 20) -> Iterator[pd.DataFrame]:
+def _by_size(batch: pd.DataFrame, limit: int = 1 << 19) -> Iterator[pd.DataFrame]:
     if len(batch):
         part = (batch["n"].cumsum() - 1) // limit
         for _, rows in batch.groupby(part, sort=False):
