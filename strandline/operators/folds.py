@@ -79,8 +79,10 @@ def greedy_labels(starts: list[int], ends: list[int], window: int) -> list[int]:
     return labels
 
 
-def greedy_clusters(events: DataFrame, keys: list[str], order: list[str], window: int, prefix: str, islands: int = 64) -> DataFrame:
-    """Adds cluster_id (prefix and six digits, numbered over all keys in their order) to events (keys, sv_start, sv_end).
+def greedy_clusters(events: DataFrame, keys: list[str], order: list[str], window: int, prefix: str, islands: int = 64, key_order: list | None = None) -> DataFrame:
+    """Adds cluster_id (prefix and six digits, numbered over all keys in ``key_order``) to events (keys, sv_start, sv_end).
+
+    Numbers come from sums of cluster counts, within a key by part and over keys by one row a key, so no window holds all clusters.
 
     A start more than ``window`` after the one before always opens a cluster, so runs of ``islands`` such islands are
     independent groups and large keys spread over tasks.
@@ -95,6 +97,10 @@ def greedy_clusters(events: DataFrame, keys: list[str], order: list[str], window
         return part.assign(_local=greedy_labels(part["sv_start"].tolist(), part["sv_end"].tolist(), window))
 
     rows = rows.groupBy(*keys, "_part").applyInPandas(fold, schema)
-    names = rows.groupBy(*keys, "_part", "_local").agg(F.min("sv_start").alias("_s"))
-    names = names.withColumn("cluster_id", F.format_string(f"{prefix}_%06d", F.row_number().over(Window.orderBy(*keys, "_part", "_local")))).drop("_s")
-    return rows.join(names, [*keys, "_part", "_local"]).drop("_part", "_local")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(*keys, "_part").agg(F.max("_local").alias("_n"))
+    totals = parts.groupBy(*keys).agg(F.sum("_n").alias("_k")).withColumn("_a", F.sum("_k").over(before(Window.orderBy(*(key_order or keys)))))
+    parts = parts.withColumn("_b", F.sum("_n").over(before(Window.partitionBy(*keys).orderBy("_part")))).join(totals, keys)
+    number = F.coalesce("_a", F.lit(0)) + F.coalesce("_b", F.lit(0)) + F.col("_local")
+    out = rows.join(parts, [*keys, "_part"]).withColumn("cluster_id", F.format_string(f"{prefix}_%06d", number))
+    return out.select(*events.columns, "cluster_id")

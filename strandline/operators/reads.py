@@ -72,7 +72,23 @@ def discordant_pairs(reads: DataFrame, min_insert: int = 500, only_fr: bool = Tr
         r = r.filter(~has_flag(F.col("flag"), "reverse") & has_flag(F.col("flag"), "mate_reverse"))
     r = r.withColumn("orientation", pair_orientation(F.col("flag"))).withColumn("sv_start", F.col("pos") + cigar_ref_length(F.col("cigar"))).withColumn("sv_end", F.col("pnext") - 1)
     r = r.filter("sv_start <= sv_end").withColumn("sv_length", F.col("sv_end") - F.col("sv_start") + 1)
-    return first_of(r, ["sample", "qname", "chrom", "sv_start", "sv_end", "tlen"], ["flag", "mapq", "cigar"])
+    r = r.withColumn("strand", strand(F.col("flag"))).withColumn("mate_strand", F.when(has_flag(F.col("flag"), "mate_reverse"), "-").otherwise("+"))
+    return first_of(r, ["sample", "qname", "chrom", "pos", "sv_start", "sv_end", "tlen"], ["flag", "mapq", "cigar"])
+
+
+#: What makes two split events one: read, both alignments and the gap.
+EVENT_KEY = ["sample", "qname", "chrom", "pos", "end", "cigar", "sa_chrom", "sa_pos", "sa_end", "sa_cigar", "sv_start", "sv_end"]
+
+
+def split_events(gaps: DataFrame) -> DataFrame:
+    """Deletion gaps that hold as events (whole coordinates from 1, end not before start), the first of each key."""
+    fine = (F.col("junction") == "Deletion_Gap") & (F.col("sv_start") >= 1) & (F.col("sv_end") >= F.col("sv_start")) & (F.col("sv_length") >= 1)
+    return first_of(gaps.filter(fine), EVENT_KEY, ["flag", "sa_mapq", "sa_strand"])
+
+
+def with_status(members: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Members with the status of their cluster."""
+    return members.join(clusters.select("cluster_id", F.col("status").alias("cluster_status")), "cluster_id")
 
 
 def count_text(values: Column) -> Column:
@@ -85,8 +101,10 @@ def cluster_summary(members: DataFrame, min_support: int, insert: bool = False)
     """Aggregates of each cluster and its status by the number of different reads."""
     aggs = [F.count_distinct("qname").alias("support_reads"), F.count("*").alias("support_records"), int_median(F.col("sv_start")).alias("start_median"), int_median(F.col("sv_end")).alias("end_median"),
             range_text(F.min("sv_start"), F.max("sv_start")).alias("start_range"), range_text(F.min("sv_end"), F.max("sv_end")).alias("end_range"), F.avg("sv_length").alias("length_mean"),
-            F.array_join(F.array_sort(F.collect_set("qname")), ",").alias("read_names")]
+            range_text(F.min("sv_length"), F.max("sv_length")).alias("length_range"), F.array_join(F.array_sort(F.collect_set("qname")), ",").alias("read_names")]
+    aggs += [count_text(F.collect_list(c)).alias(f"{c}_count") for c in ("strand", "sa_chrom", "sa_strand", "mate_strand") if c in members.columns]
     if insert:
+        aggs.append(range_text(F.min("tlen"), F.max("tlen")).alias("insert_range"))
         aggs += [F.median("tlen").alias("insert_median"), F.avg("tlen").alias("insert_mean"), count_text(F.collect_list("orientation")).alias("orientations")]
     out = members.groupBy("sample", "chrom", "cluster_id").agg(*aggs)
     return out.withColumn("status", F.when(F.col("support_reads") >= min_support, "Pass").otherwise("LowSupport"))
@@ -112,7 +130,7 @@ def tlen_stats(tlen: DataFrame, n_mad: int = 3) -> DataFrame:
 
 def histogram(values: DataFrame, column: str, upper: float, bins: int = 100) -> DataFrame:
     """Counts in equal bins of [min, upper]; the last bin is closed."""
-    low = F.min(column).over(Window.partitionBy())
-    rows = values.filter(F.col(column) <= upper).withColumn("_low", low)
+    kept = values.filter(F.col(column) <= upper)
+    rows = kept.crossJoin(kept.agg(F.min(column).alias("_low")))  # one row, so nothing is gathered in one task
     at = F.least(F.floor((F.col(column) - F.col("_low")) / ((upper - F.col("_low")) / bins)), F.lit(bins - 1))
     return rows.groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))

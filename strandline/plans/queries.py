@@ -137,7 +137,22 @@ def cusum_baseline(s, d):
     return D.with_baseline(cusum_bins(s, d)).select("gene", "baseline").distinct()
 
 
-@query()
+# The state after each bin, one bin a step; an event is there in the bin that closes it.
+CUSUM = f"""{BINS}, bl AS (SELECT gene, median(depth) AS baseline FROM bins WHERE depth > 0 GROUP BY 1),
+cb AS (SELECT gene, start, "end", depth, baseline, (depth + 0.1) / (baseline + 0.1) AS r, row_number() OVER (PARTITION BY gene ORDER BY start) AS i FROM bins JOIN bl USING (gene)),
+cl AS (SELECT gene, list(r ORDER BY i) AS rs, count(*) AS n FROM cb GROUP BY 1),
+cs AS (SELECT gene, 0::BIGINT AS i, 0::DOUBLE AS s, NULL::BIGINT AS cand, false AS ins, 0::BIGINT AS quiet, 0::BIGINT AS beg, 0::DOUBLE AS top, NULL::BIGINT AS stop, n FROM cl
+  UNION ALL SELECT gene, i, CASE WHEN closed THEN 0 ELSE s END, CASE WHEN closed OR (NOT ins AND s = 0) THEN NULL ELSE cand END, ins AND NOT closed, CASE WHEN closed THEN 0 ELSE quiet END, beg, top, CASE WHEN closed THEN i - quiet END, n
+  FROM (SELECT *, ins AND quiet >= 3 AS closed FROM (SELECT gene, i, s, cand, ins OR alarm AS ins, n,
+      CASE WHEN (ins OR alarm) AND r >= 0.8 THEN CASE WHEN alarm THEN 0 ELSE quiet END + 1 ELSE 0 END AS quiet,
+      CASE WHEN alarm THEN coalesce(list_min(list_filter(range(coalesce(cand, i), i + 1), lambda j: rs[j] <= 0.8)), cand, i) ELSE beg END AS beg, CASE WHEN alarm THEN s WHEN ins THEN greatest(top, s) ELSE top END AS top
+    FROM (SELECT *, NOT ins AND s >= 1.0 AS alarm FROM (SELECT cs.gene, cb.i, greatest(0, cs.s + (1 - cb.r - 0.1)) AS s, CASE WHEN NOT cs.ins AND cs.s = 0 AND 1 - cb.r - 0.1 > 0 THEN cb.i ELSE cs.cand END AS cand, cs.ins, cs.quiet, cs.beg, cs.top, cs.n, cb.r, cl.rs
+      FROM cs JOIN cb ON cb.gene = cs.gene AND cb.i = cs.i + 1 JOIN cl ON cl.gene = cs.gene))))),
+ce AS (SELECT gene, beg, coalesce(stop, n) AS stop, top FROM cs WHERE stop IS NOT NULL OR (ins AND i = n))"""
+
+
+@query(f"""WITH RECURSIVE {CUSUM} SELECT gene, min(start) AS start, max("end") AS "end", max("end") - min(start) + 1 AS length, count(*) AS n_bins, any_value(baseline) AS baseline, avg(depth) AS mean_depth, avg(r) AS mean_ratio, min(r) AS min_ratio, any_value(top) AS max_cusum
+FROM ce JOIN cb USING (gene) WHERE cb.i BETWEEN beg AND stop GROUP BY gene, beg, stop HAVING count(*) >= 2 AND avg(r) <= 0.65""")
 def cusum_events(s, d):
     return folds.cusum_events(D.with_baseline(cusum_bins(s, d)), ["gene"], h=1.0, min_bins=2)
 
@@ -184,24 +199,55 @@ def sa_counters(s, d):
     return _gaps(s, d).groupBy("junction").agg(F.count("*").alias("n"))
 
 
-@query()
+def _greedy(source: str, window: int, prefix: str) -> str:
+    """SQL of the greedy clusters: a step for each event of (sample, chrom) in order, with the current cluster's starts and ends."""
+    near = lambda c, l: f"abs(g.{c} - floor(list_aggregate({l}, 'median') + 0.5)) <= {window}"
+    return f"""gi AS (SELECT *, row_number() OVER (PARTITION BY sample, chrom ORDER BY sv_start, sv_end, tie) AS i FROM {source}),
+gf AS (SELECT sample, chrom, i, 1 AS lab, [sv_start] AS a, [sv_end] AS b FROM gi WHERE i = 1
+  UNION ALL SELECT sample, chrom, i, CASE WHEN ok THEN lab ELSE lab + 1 END, CASE WHEN ok THEN list_append(a, x) ELSE [x] END, CASE WHEN ok THEN list_append(b, y) ELSE [y] END
+  FROM (SELECT g.sample, g.chrom, g.i, lab, a, b, g.sv_start AS x, g.sv_end AS y, {near("sv_start", "a")} AND {near("sv_end", "b")} AS ok FROM gf JOIN gi g ON g.sample = gf.sample AND g.chrom = gf.chrom AND g.i = gf.i + 1)),
+gn AS (SELECT *, row_number() OVER (ORDER BY sample, substr(chrom, 4)::INT, lab) AS no FROM (SELECT DISTINCT sample, chrom, lab FROM gf)),
+gm AS (SELECT gi.*, '{prefix}_' || lpad(no::VARCHAR, 6, '0') AS cluster_id FROM gi JOIN gf USING (sample, chrom, i) JOIN gn USING (sample, chrom, lab))"""
+
+
+def _summary(least: int, counts: list[str], more: str = "") -> str:
+    tally = "".join(f", t_{c} AS (SELECT cluster_id, string_agg({c} || ':' || n, ',' ORDER BY {c}) AS {c}_count FROM (SELECT cluster_id, {c}, count(*) AS n FROM gm GROUP BY 1, 2) GROUP BY 1)" for c in counts)
+    return f"""{tally[2:]}, ag AS (SELECT sample, chrom, cluster_id, count(DISTINCT qname) AS support_reads, count(*) AS support_records, floor(median(sv_start) + 0.5)::BIGINT AS start_median, floor(median(sv_end) + 0.5)::BIGINT AS end_median,
+  min(sv_start) || '-' || max(sv_start) AS start_range, min(sv_end) || '-' || max(sv_end) AS end_range, avg(sv_length) AS length_mean, min(sv_length) || '-' || max(sv_length) AS length_range, string_agg(DISTINCT qname, ',' ORDER BY qname) AS read_names{more},
+  CASE WHEN count(DISTINCT qname) >= {least} THEN 'Pass' ELSE 'LowSupport' END AS status FROM gm GROUP BY 1, 2, 3), su AS (SELECT * FROM ag {" ".join(f"JOIN t_{c} USING (cluster_id)" for c in counts)})"""
+
+
+SPLIT = f"""{GAPS}, ev AS (SELECT *, left_bp + 1 AS sv_start, right_bp - 1 AS sv_end, right_bp - left_bp - 1 AS sv_length, CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand, {{tie}} AS tie FROM gp WHERE junction = 'Deletion_Gap' AND left_bp >= 0
+  QUALIFY row_number() OVER (PARTITION BY sample, qname, chrom, pos, e1, cigar, sa_chrom, sa_pos, e2, sa_cigar, left_bp, right_bp ORDER BY flag, sa_mapq, sa_strand) = 1)""".replace("{tie}", "(qname, pos, sa_pos, cigar, sa_cigar)")
+SPLIT_MEMBERS = f"{SPLIT}, {_greedy('ev', 20, 'SR_CLUSTER')}"
+SPLIT_CLUSTERS = f"{SPLIT_MEMBERS}, {_summary(2, ['strand', 'sa_chrom', 'sa_strand'])}"
+
+
+def _split_members(s, d):
+    cols = ["sample", "qname", "chrom", "pos", "cigar", "sa_chrom", "sa_pos", "sa_cigar", "sv_start", "sv_end", "sv_length", "strand", "sa_strand"]
+    return folds.greedy_clusters(R.split_events(_gaps(s, d)).select(*cols), ["sample", "chrom"], ["qname", "pos", "sa_pos", "cigar", "sa_cigar"], 20, "SR_CLUSTER", key_order=["sample", G.chrom_rank(F.col("chrom")), "chrom"])
+
+
+MEMBER = ["sample", "qname", "chrom", "sv_start", "sv_end", "sv_length", "strand", "sa_strand", "cluster_id", "cluster_status"]
+
+
+@query(f"WITH RECURSIVE {SPLIT_CLUSTERS} SELECT sample, qname, chrom, sv_start, sv_end, sv_length, strand, sa_strand, cluster_id, su.status AS cluster_status FROM gm JOIN su USING (sample, chrom, cluster_id)")
 def split_members(s, d):
-    events = R.first_of(_gaps(s, d).filter("junction = 'Deletion_Gap'"), ["sample", "qname", "chrom", "sv_start", "sv_end", "sa_chrom", "sa_pos"], ["flag", "sa_mapq"])
-    cols = ["sample", "qname", "chrom", "sv_start", "sv_end", "sv_length", "strand", "sa_strand"]
-    return folds.greedy_clusters(events.select(*cols), ["sample", "chrom"], ["qname"], 20, "SR_CLUSTER")
+    members = _split_members(s, d)
+    return R.with_status(members, R.cluster_summary(members, 2)).select(*MEMBER)
 
 
-@query()
+@query(f"WITH RECURSIVE {SPLIT_CLUSTERS} SELECT * FROM su")
 def split_clusters(s, d):
-    return R.cluster_summary(split_members(s, d), 2)
+    return R.cluster_summary(_split_members(s, d), 2)
 
 
-@query()
+@query(f"WITH RECURSIVE {SPLIT_CLUSTERS} SELECT * FROM su WHERE status = 'Pass'")
 def split_pass(s, d):
     return split_clusters(s, d).filter("status = 'Pass'")
 
 
-@query()
+@query(f"WITH RECURSIVE {SPLIT_CLUSTERS} SELECT * FROM su WHERE status <> 'Pass'")
 def split_failed(s, d):
     return split_clusters(s, d).filter("status <> 'Pass'")
 
@@ -215,9 +261,14 @@ def discordant_pairs(s, d):
     return R.discordant_pairs(view(s, d, "v_reads")).select("sample", "qname", "chrom", "tlen", "orientation", "sv_start", "sv_end", "sv_length")
 
 
-@query()
+PAIR_CLUSTERS = f"""{PAIRS}, dq AS (SELECT DISTINCT sample, qname, chrom, tlen, orientation, sv_start, sv_end, sv_end - sv_start + 1 AS sv_length, '+' AS strand, '-' AS mate_strand, (qname, tlen) AS tie FROM pr WHERE sv_start <= sv_end),
+{_greedy("dq", 500, "DR_CLUSTER")}, {_summary(3, ["strand", "mate_strand"], ", median(tlen) AS insert_median, avg(tlen) AS insert_mean, min(tlen) || '-' || max(tlen) AS insert_range, 'FR:' || count(*) AS orientations")}"""
+
+
+@query(f"WITH RECURSIVE {PAIR_CLUSTERS} SELECT * FROM su")
 def discordant_clusters(s, d):
-    members = folds.greedy_clusters(discordant_pairs(s, d), ["sample", "chrom"], ["qname"], 500, "DR_CLUSTER")
+    pairs = R.discordant_pairs(view(s, d, "v_reads")).select("sample", "qname", "chrom", "tlen", "orientation", "sv_start", "sv_end", "sv_length", "strand", "mate_strand")
+    members = folds.greedy_clusters(pairs, ["sample", "chrom"], ["qname", "tlen"], 500, "DR_CLUSTER", key_order=["sample", G.chrom_rank(F.col("chrom")), "chrom"])
     return R.cluster_summary(members, 3, insert=True)
 
 
