@@ -73,9 +73,9 @@ def na_to_null(c: Column) -> Column:
 
 
 def gtf_attribute(attributes: Column, key: str) -> Column:
-    """Value of ``key "value"`` or ``key=value``; null if absent."""
-    found = F.regexp_extract(attributes, rf'(?:^|;)\s*{key}(?:\s+"([^"]*)"|=([^;]*))', 1)
-    other = F.regexp_extract(attributes, rf'(?:^|;)\s*{key}(?:\s+"([^"]*)"|=([^;]*))', 2)
+    """Value of ``key "value"``, ``key value`` or ``key=value``; null if absent."""
+    form = rf'(?:^|;)\s*{key}(?:\s+"([^"]*)"|\s*[= ]\s*([^;"]*))'
+    found, other = (F.regexp_extract(attributes, form, i) for i in (1, 2))
     return F.when(found != "", found).when(other != "", F.trim(other))
 
 
@@ -89,3 +89,34 @@ def range_text(low: Column, high: Column) -> Column:
 
 def reverse_complement(c: Column) -> Column:
     return F.reverse(F.translate(c, "ACGTacgt", "TGCAtgca"))
+
+
+def fixed(c: Column, digits: int) -> Column:
+    """Text with so many decimals, halves to even as in C (judged on the shortest decimal form of the double)."""
+    return F.format_string(f"%.{digits}f", F.bround(c, digits))
+
+
+def file_safe(c: Column) -> Column:
+    """Runs of anything but word characters, dots and hyphens are one underscore."""
+    return F.regexp_replace(c, r"[^\w.\-]+", "_")
+
+
+def exon_names(exon_id: Column, number: Column) -> tuple[Column, Column]:
+    """(id, number) of an exon, each from the other where it is missing: EX12 and 12."""
+    i, n = na_to_null(exon_id), na_to_null(number)
+    digits = F.regexp_extract(i, r"(?i)EX(\d+)", 1)
+    return F.coalesce(i, F.concat(F.lit("EX"), n)), F.coalesce(n, F.when(digits != "", digits))
+
+
+def gene_of_file(path: Column) -> Column:
+    """Gene named in the file name of a depth table: ``_GENE_NM_1`` or ``HCM_GENE_DEL``; else null."""
+    base = F.regexp_replace(F.regexp_replace(na_to_null(path), r"^.*/", ""), r"\.depth\.tsv$", "")
+    by = [F.regexp_extract(base, x, 1) for x in (r"_([A-Za-z0-9.-]+)_N[MR]_\d+", r"^HCM_([A-Za-z0-9.-]+)_DEL")]
+    return F.when(by[0] != "", by[0]).when(by[1] != "", by[1])
+
+
+def yes_no(value: Column) -> Column:
+    """Support values as Yes or No; other texts stay, NA and empty are null."""
+    v = na_to_null(value)
+    yes, no = v.rlike("(?i)^(1|yes|true|pass|support|supported)$"), v.rlike("(?i)^(0|no|false|fail|none|unsupported)$")
+    return F.when(yes | (v.try_cast("double") > 0), "Yes").when(no, "No").otherwise(v)

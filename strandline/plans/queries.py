@@ -299,8 +299,11 @@ DISC = """dp AS (SELECT s.id, d.did, least(s."end", d.end2) - greatest(s.start,
 da AS (SELECT id, max(o) AS o, max(f) AS f, count(*) FILTER (f >= 0.9) AS n, string_agg(DISTINCT did, ',' ORDER BY did) FILTER (f >= 0.9) AS ids FROM dp GROUP BY 1),
 dc AS (SELECT s.id, coalesce(o, 0) AS disc_bases, coalesce(f, 0)::DOUBLE AS disc_fraction, coalesce(f, 0) >= 0.9 AS disc_support, coalesce(n, 0) AS disc_records, ids AS disc_ids FROM v_split s LEFT JOIN da USING (id))"""
 MERGE = f"""{COVER}, {DISC}, mg AS (SELECT ds.*, disc_bases, disc_fraction, disc_support, disc_records, disc_ids, (1 + depth_support::INT + disc_support::INT)::INT AS evidence_count,
-  CASE WHEN depth_support AND disc_support THEN 'High' WHEN depth_support OR disc_support THEN 'Moderate' ELSE 'Low' END AS evidence_level,
-  'SPLIT' || CASE WHEN depth_support THEN ',DEPTH' ELSE '' END || CASE WHEN disc_support THEN ',DISCORDANT' ELSE '' END AS evidence_types FROM ds JOIN dc USING (id))"""
+  CASE WHEN depth_support AND disc_support THEN 'High' WHEN depth_support THEN 'Moderate' ELSE 'Low' END AS evidence_level,
+  CASE WHEN depth_support AND disc_support THEN 'High' WHEN depth_support THEN 'Moderate' ELSE 'Low' END || '_confidence_candidate' AS candidate_status, "end" - start + 1 AS size,
+  CASE WHEN depth_support AND disc_support THEN 'Split candidate supported by depth and discordant evidence' WHEN depth_support THEN 'Split candidate supported by depth only; no discordant interval covers >= 0.9 of split interval'
+    ELSE 'Split candidate lacks >= 0.9 depth coverage; confidence forced to Low' END AS comment,
+  'Split' || CASE WHEN depth_support THEN ',Depth' ELSE '' END || CASE WHEN disc_support THEN ',Discordant' ELSE '' END AS evidence_types FROM ds JOIN dc USING (id))"""
 
 
 @query(f"WITH {COVER} SELECT * FROM ds")
@@ -323,24 +326,28 @@ def level_counts(s, d):
     return merge_evidence(s, d).groupBy("evidence_level").agg(F.count("*").alias("n"))
 
 
-HITS = """h AS (SELECT c.id, e.gene, e.transcript, e.exon, e.start AS s2, e."end" AS e2, (least(c."end", e."end") - greatest(c.start, e.start) + 1)::DOUBLE / (e."end" - e.start + 1) AS part
+HITS = """h AS (SELECT c.id, e.chrom AS ec, least(c."end", e."end") - greatest(c.start, e.start) + 1 AS o, e.gene, e.transcript, e.exon, e.start AS s2, e."end" AS e2, (least(c."end", e."end") - greatest(c.start, e.start) + 1)::DOUBLE / (e."end" - e.start + 1) AS part
   FROM v_split c JOIN v_exons e ON c.chrom = e.chrom AND c.start <= e."end" AND c."end" >= e.start),
 k AS (SELECT *, gene || '|' || transcript || '|EX' || exon AS label FROM h WHERE part >= 0.2),
-ls AS (SELECT id, string_agg(label, ',' ORDER BY s2, e2, gene, transcript, exon) AS exons, count(*) AS n_exons, string_agg(label, ',' ORDER BY s2, e2, gene, transcript, exon) FILTER (part >= 1) AS full_exons FROM k GROUP BY 1),
+ls AS (SELECT id, string_agg(label, ',' ORDER BY s2, e2, gene, transcript, exon) AS exons, count(*) AS n_exons, string_agg(label, ',' ORDER BY s2, e2, gene, transcript, exon) FILTER (part >= 1) AS full_exons,
+  string_agg(label, ',' ORDER BY s2, e2, gene, transcript, exon) FILTER (part < 1) AS partial_exons, string_agg(label || ':' || ec || ':' || s2 || ':' || e2 || ':overlap=' || o || ':fraction=' || printf('%.3f', part), ';' ORDER BY s2, e2, gene, transcript, exon) AS exon_detail FROM k GROUP BY 1),
 mo AS (SELECT id, gene, count(*) AS n FROM k GROUP BY 1, 2), tg AS (SELECT id, gene FROM mo QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, gene) = 1),
 mt AS (SELECT id, transcript, count(*) AS n FROM k GROUP BY 1, 2), tt AS (SELECT id, transcript FROM mt QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, transcript) = 1)"""
 
 
-@query(f"""WITH {MERGE}, {HITS} SELECT mg.*, exons, coalesce(n_exons, 0) AS n_exons, CASE WHEN n_exons > 0 THEN coalesce(full_exons, '') END AS full_exons, gene, transcript, CASE WHEN n_exons > 0 THEN 'Annotated' ELSE 'Not_annotated' END AS annotation, chrom || ':' || start || '-' || "end" AS region
+def _exons(s, d):
+    return view(s, d, "v_exons").withColumnsRenamed({"start": "start2", "end": "end2"}).drop("strand")
+
+
+@query(f"""WITH {MERGE}, {HITS} SELECT mg.*, exons, coalesce(n_exons, 0) AS n_exons, CASE WHEN n_exons > 0 THEN coalesce(full_exons, '') END AS full_exons, CASE WHEN n_exons > 0 THEN coalesce(partial_exons, '') END AS partial_exons, exon_detail, gene, transcript, CASE WHEN n_exons > 0 THEN 'Annotated' ELSE 'Not_annotated' END AS annotation, chrom || ':' || start || '-' || "end" AS region
 FROM mg LEFT JOIN ls USING (id) LEFT JOIN tg USING (id) LEFT JOIN tt USING (id)""")
 def annotate(s, d):
-    exons = view(s, d, "v_exons").withColumnsRenamed({"start": "start2", "end": "end2"}).drop("strand")
-    return E.annotate(merge_evidence(s, d), exons)
+    return E.annotate(merge_evidence(s, d), _exons(s, d))
 
 
 @query(f"WITH {HITS} SELECT id, gene FROM tg")
 def affected_gene_mode(s, d):
-    return annotate(s, d).filter("gene is not null").select("id", "gene")
+    return E.annotate(view(s, d, "v_split"), _exons(s, d)).filter("gene is not null").select("id", "gene")
 
 
 @query("""WITH n AS (SELECT *, lag(exon) OVER w AS prev_exon, lead(exon) OVER w AS next_exon, lag("end") OVER w AS pe, lead(start) OVER w AS ns FROM v_exons WINDOW w AS (PARTITION BY gene, transcript, chrom ORDER BY start, "end", exon))

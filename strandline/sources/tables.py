@@ -71,18 +71,98 @@ def read_gtf(spark: SparkSession, path: str, feature: str = "exon") -> DataFrame
     return rows.filter(F.col("feature") == feature).select(strip_version(gtf_attribute(a, "transcript_id")).alias("transcript"), gtf_attribute(a, "gene_name").alias("gene_name"), gtf_attribute(a, "exon_number").alias("exon"), "chrom", "start", "end", "strand")
 
 
-def read_depth(spark: SparkSession, path: str) -> DataFrame:
-    """chrom, pos, depth without header; rows that do not parse go, and of a repeated position the last line stays."""
+def _depth_fields(spark: SparkSession, path: str) -> DataFrame:
     f = F.split(F.trim("value"), r"\s+")
-    rows = spark.read.text(path).select(f[0].alias("chrom"), f[1].try_cast("long").alias("pos"), f[2].try_cast("double").alias("depth"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select("value", F.get(f, 0).alias("chrom"), F.get(f, 1).alias("p"), F.get(f, 2).alias("d"), F.monotonically_increasing_id().alias("line"))
+
+
+def read_depth(spark: SparkSession, path: str) -> DataFrame:
+    """chrom, pos, depth without header; short rows and those that do not parse go, and of a repeated position the last line stays."""
+    rows = _depth_fields(spark, path).select("chrom", F.col("p").try_cast("long").alias("pos"), F.col("d").try_cast("double").alias("depth"), "line")
     return rows.filter("pos is not null and depth is not null").groupBy("chrom", "pos").agg(F.max_by("depth", "line").alias("depth"))
 
 
+def read_depth_strict(spark: SparkSession, path: str) -> DataFrame:
+    """chrom, pos, depth without header; blank lines and comments go, any other line that is not one stops the job with its text."""
+    rows = _depth_fields(spark, path).filter(r"trim(value) <> '' and not value rlike '^\\s*#'")
+    whole = F.col("chrom").isNotNull() & F.col("p").rlike(r"^\d+$") & (F.col("p").try_cast("long") >= 1) & F.col("d").rlike(r"^-?\d+(\.\d+)?$")
+    fine = lambda c: F.when(F.coalesce(whole, F.lit(False)), c).otherwise(F.raise_error(F.concat(F.lit("not a depth line: "), "value")))
+    return rows.select(fine(F.col("chrom")).alias("chrom"), fine(F.col("p")).cast("long").alias("pos"), fine(F.col("d")).cast("double").alias("depth"))
+
+
 def read_core_genes(spark: SparkSession, path: str) -> DataFrame:
-    """gene, class, line: white-space separated, comments with #, an optional header."""
+    """gene, class, line: white-space separated, comments with #; the first data line is a header if its gene is "gene"."""
     f = F.split(F.trim("value"), r"\s+")
     rows = spark.read.text(path).withColumn("line", F.monotonically_increasing_id()).filter("trim(value) <> '' and trim(value) not like '#%'")
-    return rows.select(f[0].alias("gene"), F.coalesce(F.get(f, 1), F.lit("NA")).alias("class"), "line").filter("lower(gene) <> 'gene'")
+    first = rows.agg(F.min("line").alias("_first"))
+    rows = rows.select(f[0].alias("gene"), F.coalesce(F.get(f, 1), F.lit("NA")).alias("class"), "line").crossJoin(first)  # one row
+    return rows.filter("not (line = _first and lower(gene) = 'gene')").drop("_first")
+
+
+def read_exons(spark: SparkSession, path: str) -> DataFrame:
+    """gene, transcript, exon (without EX), chrom, start, end, strand of an exon table; coordinates that are not start <= end are an error."""
+    names = ["Gene", "Transcript", "Exon", "Chrom", "Start", "End", "Strand"]
+    rows = read_tsv(spark, path, required=names)
+    ok = F.coalesce(F.col("Start").rlike(r"^\d+$") & F.col("End").rlike(r"^\d+$") & (F.col("Start").try_cast("long") <= F.col("End").try_cast("long")), F.lit(False))
+    at = lambda c: F.when(ok, F.col(c)).otherwise(F.raise_error(F.concat_ws(" ", F.lit("invalid exon coordinates:"), "Gene", "Exon", "Start", "End"))).cast("long")
+    return rows.select(F.col("Gene").alias("gene"), F.col("Transcript").alias("transcript"), F.regexp_replace("Exon", "(?i)^EX", "").alias("exon"), F.col("Chrom").alias("chrom"), at("Start").alias("start"), at("End").alias("end"), F.col("Strand").alias("strand"))
+
+
+def read_mane(spark: SparkSession, path: str, keep_version: bool = False) -> DataFrame:
+    """mane_gene, transcript, raw of a table name, transcript, status: a header is recognised by its words; only MANE Select or an empty status stays."""
+    f = F.split(F.regexp_replace("value", r"\r$", ""), "\t")
+    rows = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    first = rows.agg(F.min("line").alias("_first"))
+    head = (F.col("line") == F.col("_first")) & F.col("value").rlike("(?i)gene|name|symbol") & F.col("value").rlike("(?i)RefSeq|transcript|MANE")
+    rows = rows.crossJoin(first).filter(~head).filter(r"trim(value) <> '' and not value rlike '^\\s*#'")
+    cell = lambda i: F.trim(F.coalesce(F.get(f, i), F.lit("")))
+    rows = rows.select(cell(0).alias("mane_gene"), cell(1).alias("raw"), cell(2).alias("status")).filter("mane_gene <> '' and raw <> ''")
+    rows = rows.filter((F.col("status") == "") | F.col("status").rlike(r"(?i)MANE\s*Select"))
+    return rows.select("mane_gene", (F.col("raw") if keep_version else strip_version(F.col("raw"))).alias("transcript"), "raw")
+
+
+def mane_summary(spark: SparkSession, path: str) -> DataFrame:
+    """name, RefSeq_prot (without version), MANE_status of the summary file: columns 4, 6 and the fifth from the end; the first line is a header."""
+    f = F.split("value", "\t")
+    rows = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    rows = rows.crossJoin(rows.agg(F.min("line").alias("_first"))).filter("line > _first")
+    return rows.select(F.get(f, 3).alias("name"), F.regexp_replace(F.get(f, 5), r"\.\d+$", "").alias("RefSeq_prot"), F.get(f, F.size(f) - 5).alias("MANE_status"))
+
+
+def read_window_ratios(spark: SparkSession, path: str) -> DataFrame:
+    """A window-ratio table with Start, End and Depth_Ratio as numbers; rows where one is not a number go."""
+    rows = read_tsv(spark, path, required=["Gene", "Start", "End", "Depth_Ratio"])
+    number = {c: F.col(c).try_cast("double") for c in ("Start", "End", "Depth_Ratio")}
+    return rows.withColumns(number).dropna(subset=list(number))
+
+
+def read_positive(spark: SparkSession, path: str, column: str = "TLEN") -> DataFrame:
+    """One column of a table as positive numbers; all else goes."""
+    return read_tsv(spark, path, required=[column]).select(F.col(column).try_cast("double").alias(column)).filter(F.col(column) > 0)
+
+
+#: Columns of the table of split events.
+SPLIT_EVENT_COLUMNS = "Sample Read_Name Flag Primary_Chrom Primary_Start Primary_End Primary_CIGAR Primary_MAPQ Primary_Strand SA_Chrom SA_Start SA_End SA_CIGAR SA_MAPQ SA_Strand SA_NM Left_Breakpoint Right_Breakpoint SV_Chrom SV_Start SV_End SV_Length Junction_Type SA_Tag".split()
+
+
+def read_split_events(spark: SparkSession, path: str) -> DataFrame:
+    """The table of split events, all 24 columns required, numbers as numbers (null where they are none)."""
+    rows = read_tsv(spark, path, required=SPLIT_EVENT_COLUMNS).select(*SPLIT_EVENT_COLUMNS)
+    number = {c: F.col(c).try_cast("long") for c in SPLIT_EVENT_COLUMNS if re.search(r"Flag|Start|End|MAPQ|NM$|Breakpoint|Length", c)}
+    return rows.withColumns(number)
+
+
+def read_chrom_lengths(spark: SparkSession, path: str) -> DataFrame:
+    """chrom, length from the @SQ lines of a SAM header; lengths of 0 go."""
+    line = spark.read.text(path).filter("value like '@SQ%'")
+    rows = line.select(F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("chrom"), F.regexp_extract("value", r"\tLN:(\d+)", 1).try_cast("long").alias("length"))
+    return rows.filter("chrom <> '' and chrom <> '*' and length > 0")
+
+
+def union_files(spark: SparkSession, pattern: str, column: str = "Depth_File") -> DataFrame:
+    """All tables that match the pattern as one, with the name of the file each row is from."""
+    rows = spark.read.csv(pattern, sep="\t", header=True, nullValue="NA", enforceSchema=False)
+    return rows.select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias(column), "*")
 
 
 def parse_settings(text: str) -> dict[str, str]:

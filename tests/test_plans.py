@@ -128,6 +128,6 @@ def test_merge_drops_failed_evidence_turns_intervals_and_normalises_names(spark)
     depth = spark.createDataFrame([("S", "1", 210, 90, "DEL"), ("S", "chrM", 90, 210, "DUP"), ("S", "chr2", 90, 210, None)], "sample string, chrom string, start2 long, end2 long, svtype string")
     disc = spark.createDataFrame([("D1", "S", "1", 90, 210, "Low_support"), ("D2", "S", "chrM", 90, 210, "Pass"), ("D3", "S", "chr2", 210, 90, "NA")], "did string, sample string, chrom string, start2 long, end2 long, status string")
     got = {r["id"]: (r["start"], r["end"], r["evidence_types"]) for r in evidence.merge_evidence(split, depth, disc).collect()}
-    assert got == {"a": (100, 200, "SPLIT,DEPTH"), "c": (100, 200, "SPLIT,DISCORDANT"), "d": (100, 200, "SPLIT,DEPTH,DISCORDANT")}
+    assert got == {"a": (100, 200, "Split,Depth"), "c": (100, 200, "Split,Discordant"), "d": (100, 200, "Split,Depth,Discordant")}
     exons = spark.createDataFrame([("G", "T", 1, "1", 110, 150)], "gene string, transcript string, exon long, chrom string, start2 long, end2 long")
     assert [r["gene"] for r in evidence.annotate(split.filter("id = 'b'").withColumn("chrom", F.lit("chr1")), exons).collect()] == ["G"]
