@@ -92,8 +92,8 @@ def reverse_complement(c: Column) -> Column:
 
 
 def fixed(c: Column, digits: int) -> Column:
-    """Text with so many decimals, halves to even as in C (judged on the shortest decimal form of the double)."""
-    return F.format_string(f"%.{digits}f", F.bround(c, digits))
+    """Text with so many decimals, halves to even as in C (judged on the shortest decimal form of the double); null stays null."""
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", F.bround(c, digits)))
 
 
 def file_safe(c: Column) -> Column:

@@ -63,27 +63,70 @@ def first_of(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return rows.withColumn("_at", at).filter("_at = 1").drop("_at")
 
 
+def pair_reasons(reads: DataFrame, min_insert: int = 500, only_fr: bool = True, min_mapq: int = 20) -> DataFrame:
+    """Reads with the gap between the mates, and reason: why a read is no discordant pair, in the order of the checks (null if it is one)."""
+    flag, length = F.col("flag"), cigar_ref_length(F.col("cigar"))
+    mate = F.when(F.col("rnext") == "=", F.col("chrom")).otherwise(F.col("rnext"))
+    r = reads.withColumn("orientation", pair_orientation(flag)).withColumn("sv_start", F.col("pos") + length).withColumn("sv_end", F.col("pnext") - 1)
+    r = r.withColumn("sv_length", F.col("sv_end") - F.col("sv_start") + 1)
+    r = r.withColumn("strand", strand(flag)).withColumn("mate_strand", F.when(has_flag(flag, "mate_reverse"), "-").otherwise("+"))
+    named = lambda c: F.coalesce(~F.col(c).isin("", "*"), F.lit(False))
+    sound = named("qname") & named("chrom") & named("cigar") & named("rnext") & (F.col("pos") >= 1) & (F.col("pnext") >= 1) & (F.col("mapq") >= min_mapq) & F.col("tlen").isNotNull()
+    required, excluded = DISCORDANT
+    return r.withColumn("reason", reject_reason([
+        ("bad_sam", ~F.coalesce(sound & flag.isNotNull(), F.lit(False))),
+        ("flag", (flag.bitwiseAND(required) != required) | (flag.bitwiseAND(excluded) != 0)),
+        ("mate_chrom", mate != F.col("chrom")),
+        ("tlen_sign", F.col("tlen") <= 0),
+        ("insert_size", F.col("tlen") < min_insert),
+        ("bad_sam", length <= 0),
+        ("orientation", F.lit(only_fr) & (has_flag(flag, "reverse") | ~has_flag(flag, "mate_reverse"))),
+        ("invalid_interval", F.col("sv_start") > F.col("sv_end")),
+    ]))
+
+
+#: What makes two rows one pair, and which row of a pair is taken.
+PAIR_KEY, PAIR_ORDER = ["sample", "qname", "chrom", "pos", "sv_start", "sv_end", "tlen"], ["flag", "mapq", "cigar"]
+
+
 def discordant_pairs(reads: DataFrame, min_insert: int = 500, only_fr: bool = True, min_mapq: int = 20) -> DataFrame:
     """Long-insert pairs on one chromosome, one row a fragment, with the gap between the mates."""
-    r = used(reads, DISCORDANT, min_mapq)
-    mate = F.when(F.col("rnext") == "=", F.col("chrom")).otherwise(F.col("rnext"))
-    r = r.filter((mate == F.col("chrom")) & (F.col("tlen") >= min_insert))
-    if only_fr:
-        r = r.filter(~has_flag(F.col("flag"), "reverse") & has_flag(F.col("flag"), "mate_reverse"))
-    r = r.withColumn("orientation", pair_orientation(F.col("flag"))).withColumn("sv_start", F.col("pos") + cigar_ref_length(F.col("cigar"))).withColumn("sv_end", F.col("pnext") - 1)
-    r = r.filter("sv_start <= sv_end").withColumn("sv_length", F.col("sv_end") - F.col("sv_start") + 1)
-    r = r.withColumn("strand", strand(F.col("flag"))).withColumn("mate_strand", F.when(has_flag(F.col("flag"), "mate_reverse"), "-").otherwise("+"))
-    return first_of(r, ["sample", "qname", "chrom", "pos", "sv_start", "sv_end", "tlen"], ["flag", "mapq", "cigar"])
+    r = pair_reasons(reads, min_insert, only_fr, min_mapq).filter("reason is null").drop("reason")
+    return first_of(r, PAIR_KEY, PAIR_ORDER)
+
+
+def reason_counts(rows: DataFrame, key: list[str], used_name: str, repeated_name: str) -> DataFrame:
+    """reason, n: rows with a reason by it; of those without, one of each key is used and the others are repeats."""
+    fine = rows.filter("reason is null").groupBy(*key).agg(F.count("*").alias("n"))
+    fine = fine.agg(F.count("*").alias("once"), F.coalesce(F.sum("n"), F.lit(0)).alias("all"))
+    named = F.array(F.struct(F.lit(used_name).alias("reason"), F.col("once").alias("n")), F.struct(F.lit(repeated_name).alias("reason"), (F.col("all") - F.col("once")).alias("n")))
+    bad = rows.filter("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
+    return bad.union(fine.select(F.explode(named).alias("x")).select("x.*"))
+
+
+def pair_counters(reads: DataFrame, min_insert: int = 500, only_fr: bool = True, min_mapq: int = 20) -> DataFrame:
+    """reason, n of all reads: each read is counted once."""
+    return reason_counts(pair_reasons(reads, min_insert, only_fr, min_mapq), PAIR_KEY, "candidate_pairs", "duplicate_pair")
 
 
 #: What makes two split events one: read, both alignments and the gap.
 EVENT_KEY = ["sample", "qname", "chrom", "pos", "end", "cigar", "sa_chrom", "sa_pos", "sa_end", "sa_cigar", "sv_start", "sv_end"]
 
 
+def event_reasons(gaps: DataFrame) -> DataFrame:
+    """Junctions with reason: why one is no event (other junctions, coordinates that are not whole from 1 with the end not before the start)."""
+    fine = (F.col("sv_start") >= 1) & (F.col("sv_end") >= F.col("sv_start")) & (F.col("sv_length") >= 1) & (F.coalesce("chrom", F.lit("NA")) != "NA")
+    return gaps.withColumn("reason", reject_reason([("non_deletion", F.coalesce(F.col("junction") != "Deletion_Gap", F.lit(True))), ("invalid_coord", ~F.coalesce(fine, F.lit(False)))]))
+
+
 def split_events(gaps: DataFrame) -> DataFrame:
-    """Deletion gaps that hold as events (whole coordinates from 1, end not before start), the first of each key."""
-    fine = (F.col("junction") == "Deletion_Gap") & (F.col("sv_start") >= 1) & (F.col("sv_end") >= F.col("sv_start")) & (F.col("sv_length") >= 1)
-    return first_of(gaps.filter(fine), EVENT_KEY, ["flag", "sa_mapq", "sa_strand"])
+    """Deletion gaps that hold as events, the first of each key."""
+    return first_of(event_reasons(gaps).filter("reason is null").drop("reason"), EVENT_KEY, ["flag", "sa_mapq", "sa_strand"])
+
+
+def event_counters(gaps: DataFrame) -> DataFrame:
+    """reason, n of all junctions: each is counted once."""
+    return reason_counts(event_reasons(gaps), EVENT_KEY, "used", "duplicate_event")
 
 
 def with_status(members: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -116,7 +159,7 @@ def valid_tlen(reads: DataFrame, min_mapq: int = 20) -> DataFrame:
 
 def tlen_sample(tlen: DataFrame, most: int, seed: int = 20260701) -> DataFrame:
     """At most ``most`` rows in hash order: a uniform-like sample that reruns repeat."""
-    return tlen.orderBy(F.xxhash64("qname", "tlen", F.lit(seed)), "qname", "tlen").limit(most)
+    return tlen.orderBy(F.md5(F.concat_ws("|", "sample", "qname", F.col("tlen").cast("string"), F.lit(str(seed)))), "sample", "qname", "tlen").limit(most)
 
 
 def tlen_stats(tlen: DataFrame, n_mad: int = 3) -> DataFrame:

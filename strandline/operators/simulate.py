@@ -2,22 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.functions.genome import file_safe
 
-def sim_truth(genes: DataFrame, bins: list[tuple[str, int, int]], replicates: int, depth: float, read_length: int, seed: int = 1) -> DataFrame:
-    """genes (gene, start, end) x size bins (name, min, max) x replicates; genes shorter than a bin's least size have no event."""
-    sizes = F.array(*[F.struct(F.lit(n).alias("bin"), F.lit(a).cast("long").alias("least"), F.lit(b).cast("long").alias("most")) for n, a, b in bins])
-    e = genes.select("gene", "start", "end", F.explode(sizes).alias("s"), F.sequence(F.lit(1), F.lit(replicates)).alias("reps"))
-    e = e.select("gene", "start", "end", "s.*", F.explode("reps").alias("replicate"))
-    length = F.col("end") - F.col("start") + 1
-    e = e.withColumn("most", F.least("most", length)).filter(F.col("most") >= F.col("least"))
-    draw = lambda tag, n: F.pmod(F.xxhash64("gene", "bin", "replicate", F.lit(tag), F.lit(seed)), n)
-    e = e.withColumn("del_size", F.col("least") + draw("size", F.col("most") - F.col("least") + 1))
-    e = e.withColumn("del_start", F.col("start") + draw("start", length - F.col("del_size") + 1)).withColumn("del_end", F.col("del_start") + F.col("del_size") - 1)
-    pairs = lambda n: F.floor(depth / 2 * n / (2 * read_length) + 0.5)
-    return e.withColumn("ref_fragments", pairs(length)).withColumn("alt_fragments", pairs(length - F.col("del_size"))).drop("least", "most")
+
+#: The size bins of simulated deletions (name, least, most).
+SIZE_BINS = [("50_100", 50, 100), ("100_200", 100, 200), ("200_500", 200, 500), ("500_1000", 500, 1000), ("1000_2000", 1000, 2000), ("2000_5000", 2000, 5000), ("5000_10000", 5000, 10000)]
+
+
+def first_genes(genes: DataFrame, most: int, order: list[str], read_length: int) -> DataFrame:
+    """The first ``most`` genes, in a stated order, that are long enough for a read; 0 takes all."""
+    whole = genes.withColumns({"start": F.least("start", "end"), "end": F.greatest("start", "end")}).filter(F.col("end") - F.col("start") + 1 >= read_length)
+    return whole.orderBy(*order).limit(most) if most else whole
+
+
+def sim_truth(genes: DataFrame, bins: list[tuple[str, int, int]], replicates: int, depth: float, read_length: int, seed: int = 1, *, prefix: str = "SIM", out_dir: str = "simulated", insert_mean: float = 350.0, insert_sd: float = 50.0, error_rate: float = 0.0) -> DataFrame:
+    """genes (gene, transcript, chrom, strand, start, end, exon_count) x size bins (name, min, max) x replicates -> one event a row.
+
+    Genes shorter than a read, or than a bin's least size, have no event, nor has one that would leave less than a read.
+    Each draw is the MD5 of the event's names, so any engine can repeat it; a sample's name tells genes, not transcripts, apart.
+    """
+    sizes = F.array(*[F.struct(F.lit(n).alias("length_bin"), F.lit(a).cast("long").alias("bin_min_size"), F.lit(b).cast("long").alias("bin_max_size")) for n, a, b in bins])
+    e = first_genes(genes, 0, [], read_length).withColumn("gene_length", F.col("end") - F.col("start") + 1)
+    e = e.select("*", F.explode(sizes).alias("_s")).filter(F.col("gene_length") >= F.col("_s.bin_min_size"))
+    e = e.select("*", "_s.*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")).drop("_s")
+    event = [F.col(c).cast("string") for c in ("gene", "transcript", "length_bin", "replicate")]
+
+    def draw(tag: str, n: Column) -> Column:
+        return F.conv(F.substring(F.md5(F.concat_ws("|", *event, F.lit(tag), F.lit(str(seed)))), 1, 8), 16, 10).cast("long") % n
+
+    e = e.withColumn("del_size_bp", F.col("bin_min_size") + draw("size", F.least("bin_max_size", "gene_length") - F.col("bin_min_size") + 1))
+    e = e.withColumn("del_start", F.col("start") + draw("start", F.col("gene_length") - F.col("del_size_bp") + 1))
+    e = e.withColumn("del_haplotype_length", F.col("gene_length") - F.col("del_size_bp")).filter(F.col("del_haplotype_length") >= read_length)
+    sample = F.concat_ws("_", F.lit(prefix), file_safe(F.col("gene")), F.lit("DEL"), "length_bin", F.concat(F.lit("rep"), "replicate"))
+    fragments = lambda c: F.floor(F.lit(depth / 2) * F.col(c) / (2 * read_length) + 0.5)
+    fastq = lambda n: F.concat(F.lit(f"{out_dir}/"), "sample", F.lit("/"), "sample", F.lit(f".R{n}.fastq"))
+    return e.withColumn("sample", sample).select(
+        "sample", "gene", "transcript", "chrom", "strand", F.col("start").alias("gene_start"), F.col("end").alias("gene_end"), "gene_length", "exon_count", "length_bin", "bin_min_size", "bin_max_size", "replicate",
+        "del_start", (F.col("del_start") + F.col("del_size_bp") - 1).alias("del_end"), "del_size_bp", F.col("gene_length").alias("wt_haplotype_length"), "del_haplotype_length", F.lit(depth).alias("depth"),
+        F.lit(depth / 2).alias("wt_depth"), F.lit(depth / 2).alias("del_depth"), F.lit(read_length).alias("read_length"), F.lit(insert_mean).alias("insert_mean"), F.lit(insert_sd).alias("insert_sd"), F.lit(error_rate).alias("error_rate"),
+        fragments("gene_length").alias("wt_fragment_number"), fragments("del_haplotype_length").alias("del_fragment_number"), draw("event", F.lit(1 << 31)).alias("seed"), fastq(1).alias("r1_fastq"), fastq(2).alias("r2_fastq"),
+    )
 
 
 def _uniform(seed: int, *parts):

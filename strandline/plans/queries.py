@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import depth as D
 from strandline.operators import evidence as E
-from strandline.operators import folds, intervals, regions, simulate
+from strandline.operators import folds, intervals, regions, reports, simulate
 from strandline.operators import reads as R
 from strandline.functions import genome as G
 from strandline.plans.views import view, with_views
@@ -282,7 +282,7 @@ def tlen_stats(s, d):
     return R.tlen_stats(R.valid_tlen(view(s, d, "v_reads")))
 
 
-@query()
+@query(f"WITH {TLEN} SELECT * FROM t ORDER BY md5(concat_ws('|', sample, qname, tlen, '20260701')), sample, qname, tlen LIMIT 1000")
 def tlen_sample(s, d):
     return R.tlen_sample(R.valid_tlen(view(s, d, "v_reads")), 1000)
 
@@ -384,7 +384,93 @@ def utr_subtract(s, d):
     return intervals.subtract_intervals(left, right, "gene")
 
 
-@query()
+def _draw(tag: str, n: str) -> str:
+    return f"('0x' || substr(md5(concat_ws('|', gene, transcript, length_bin, replicate, '{tag}', '1')), 1, 8))::BIGINT % ({n})"
+
+
+def _genes(s, d):
+    return gene_ranges(s, d).withColumnRenamed("mane_gene", "gene")
+
+
+@query(f"""WITH {MANE}, gr AS (SELECT mane_gene AS gene, transcript, chrom, strand, min(start) AS gene_start, max("end") AS gene_end, count(*) AS exon_count FROM me GROUP BY 1, 2, 3, 4),
+b AS (SELECT unnest({[n for n, _, _ in simulate.SIZE_BINS]}) AS length_bin, unnest({[a for _, a, _ in simulate.SIZE_BINS]})::BIGINT AS bin_min_size, unnest({[z for _, _, z in simulate.SIZE_BINS]})::BIGINT AS bin_max_size),
+x AS (SELECT *, gene_end - gene_start + 1 AS gene_length FROM gr CROSS JOIN b CROSS JOIN (SELECT unnest([1, 2])::INT AS replicate) WHERE gene_length >= bin_min_size AND gene_length >= 150),
+y AS (SELECT *, bin_min_size + {_draw("size", "least(bin_max_size, gene_length) - bin_min_size + 1")} AS del_size_bp FROM x),
+z AS (SELECT *, gene_start + {_draw("start", "gene_length - del_size_bp + 1")} AS del_start, gene_length - del_size_bp AS del_haplotype_length, 'SIM_' || gene || '_DEL_' || length_bin || '_rep' || replicate AS sample FROM y WHERE gene_length - del_size_bp >= 150)
+SELECT *, del_start + del_size_bp - 1 AS del_end, gene_length AS wt_haplotype_length, 30.0::DOUBLE AS depth, 15.0::DOUBLE AS wt_depth, 15.0::DOUBLE AS del_depth, 150 AS read_length, 350.0::DOUBLE AS insert_mean, 50.0::DOUBLE AS insert_sd, 0.0::DOUBLE AS error_rate,
+  floor(15.0::DOUBLE * gene_length / 300 + 0.5)::BIGINT AS wt_fragment_number, floor(15.0::DOUBLE * del_haplotype_length / 300 + 0.5)::BIGINT AS del_fragment_number, {_draw("event", "2147483648")} AS seed,
+  'simulated/' || sample || '/' || sample || '.R1.fastq' AS r1_fastq, 'simulated/' || sample || '/' || sample || '.R2.fastq' AS r2_fastq FROM z""")
 def sim_truth(s, d):
-    genes = core_gene_regions(s, d).select("gene", "start", "end")
-    return simulate.sim_truth(genes, [("50-100", 50, 100), ("101-200", 101, 200), ("201-500", 201, 500)], 2, 30.0, 150)
+    return simulate.sim_truth(_genes(s, d), simulate.SIZE_BINS, 2, 30.0, 150)
+
+
+@query(f"""WITH {MANE} SELECT mane_gene AS gene, transcript, chrom, strand, min(start) AS start, max("end") AS "end", count(*) AS exon_count FROM me GROUP BY 1, 2, 3, 4 HAVING max("end") - min(start) + 1 >= 150 ORDER BY mane_gene, transcript LIMIT 20""")
+def first_genes(s, d):
+    return simulate.first_genes(_genes(s, d), 20, ["gene", "transcript"], 150)
+
+
+PARTS = """tg AS (SELECT mane_gene AS gene, replace(arg_max(transcript, line), '.2', '') AS transcript FROM v_mane_lines WHERE mane_gene IN (SELECT gene FROM v_core) GROUP BY 1)"""
+
+
+@query(f"""WITH {PARTS}, o AS (SELECT p.* FROM v_gtf_parts p JOIN tg USING (gene, transcript))
+SELECT gene, transcript, min(chrom) AS chrom, min(strand) AS strand, coalesce(min(start) FILTER (feature = 'transcript'), min(start) FILTER (feature = 'exon')) AS tx_start, coalesce(max("end") FILTER (feature = 'transcript'), max("end") FILTER (feature = 'exon')) AS tx_end,
+  count(*) FILTER (feature = 'exon') AS n_exons, count(*) FILTER (feature = 'CDS') AS n_cds, count(*) FILTER (feature = '5UTR') AS n_utr5, count(*) FILTER (feature = '3UTR') AS n_utr3,
+  coalesce(string_agg(start || '-' || "end", ',' ORDER BY start, "end") FILTER (feature = 'exon'), '') AS exons, coalesce(string_agg(start || '-' || "end", ',' ORDER BY start, "end") FILTER (feature = 'CDS'), '') AS cds FROM o GROUP BY 1, 2""")
+def gene_structures(s, d):
+    return reports.gene_structures(view(s, d, "v_core"), view(s, d, "v_mane_lines"), view(s, d, "v_gtf_parts"))
+
+
+@query(f"""WITH {PARTS} SELECT DISTINCT 'Missing_MANE' AS category, gene, 'Gene not found in RefSeq_MANE_Select file' AS reason FROM v_core WHERE gene NOT IN (SELECT gene FROM tg)
+UNION ALL SELECT 'Missing_GTF', gene, 'MANE transcript not found in GTF' FROM tg ANTI JOIN v_gtf_parts USING (gene, transcript)""")
+def missing_report(s, d):
+    return reports.missing_report(view(s, d, "v_core"), view(s, d, "v_mane_lines"), view(s, d, "v_gtf_parts"))
+
+
+def _windows(s, d):
+    return window_ratio(s, d).withColumn("window_id", F.concat(F.lit("W"), F.col("number").cast("string")))
+
+
+@query(f"WITH {RATIO} SELECT gene, 'W' || number AS window_id, w_start, w_end, ratio, status, row_number() OVER (PARTITION BY gene ORDER BY w_start, w_end, 'W' || number)::INT AS plot_index FROM st")
+def plot_index(s, d):
+    return reports.plot_index(_windows(s, d)).select("gene", "window_id", "w_start", "w_end", "ratio", "status", "plot_index")
+
+
+@query(f"""WITH {RATIO}, nn AS (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY w_start, w_end, 'W' || number) AS place, 'W' || number || ': ' || coalesce(printf('%.3f', ratio), 'nan') AS line FROM st WHERE status <> 'Normal_window'),
+nl AS (SELECT gene, count(*) AS n_labels, string_agg(line, chr(10) ORDER BY place) FILTER (place <= 30) AS lines FROM nn GROUP BY 1)
+SELECT gene, count(*) AS n_windows, coalesce(any_value(n_labels), 0) AS n_labels, CASE WHEN any_value(n_labels) IS NULL THEN 'Non-normal windows: none' ELSE 'Non-normal windows' || chr(10) || any_value(lines) || CASE WHEN any_value(n_labels) > 30 THEN chr(10) || '... +' || (any_value(n_labels) - 30) || ' more' ELSE '' END END AS labels
+FROM st LEFT JOIN nl USING (gene) GROUP BY gene""")
+def window_labels(s, d):
+    return reports.window_labels(_windows(s, d))
+
+
+@query(f"WITH {RATIO} SELECT count(DISTINCT gene) AS n_genes FROM st")
+def plotted_genes(s, d):
+    return window_ratio(s, d).agg(F.count_distinct("gene").alias("n_genes"))
+
+
+@query(f"""WITH pa AS (SELECT *, pos + {LENGTH} AS a, pnext - 1 AS b FROM v_reads),
+pb AS (SELECT *, CASE WHEN pos < 1 OR pnext < 1 OR mapq < 20 THEN 'bad_sam' WHEN flag & 1 <> 1 OR flag & 3852 <> 0 THEN 'flag' WHEN rnext <> '=' AND rnext <> chrom THEN 'mate_chrom' WHEN tlen <= 0 THEN 'tlen_sign' WHEN tlen < 500 THEN 'insert_size'
+  WHEN flag & 16 <> 0 OR flag & 32 = 0 THEN 'orientation' WHEN a > b THEN 'invalid_interval' END AS reason FROM pa),
+pf AS (SELECT count(*) AS n, count(DISTINCT (sample, qname, chrom, pos, a, b, tlen)) AS once FROM pb WHERE reason IS NULL)
+SELECT reason, count(*) AS n FROM pb WHERE reason IS NOT NULL GROUP BY 1 UNION ALL SELECT 'candidate_pairs', once FROM pf UNION ALL SELECT 'duplicate_pair', n - once FROM pf""")
+def discordant_counters(s, d):
+    return R.pair_counters(view(s, d, "v_reads"))
+
+
+@query(f"""WITH {GAPS}, ge AS (SELECT *, CASE WHEN junction <> 'Deletion_Gap' THEN 'non_deletion' WHEN left_bp < 0 THEN 'invalid_coord' END AS reason FROM gp),
+gf AS (SELECT count(*) AS n, count(DISTINCT (sample, qname, chrom, pos, e1, cigar, sa_chrom, sa_pos, e2, sa_cigar, left_bp, right_bp)) AS once FROM ge WHERE reason IS NULL)
+SELECT reason, count(*) AS n FROM ge WHERE reason IS NOT NULL GROUP BY 1 UNION ALL SELECT 'used', once FROM gf UNION ALL SELECT 'duplicate_event', n - once FROM gf""")
+def split_event_counters(s, d):
+    return R.event_counters(_gaps(s, d))
+
+
+@query(f"WITH {MANE} SELECT * FROM me")
+def exon_rows(s, d):
+    """The exon table in its order."""
+    return reports.exon_order(mane_exons(s, d))
+
+
+@query(f'WITH {MANE} SELECT mane_gene, transcript, chrom, strand, min(start) AS start, max("end") AS "end", count(*) AS exon_count FROM me GROUP BY 1, 2, 3, 4')
+def gene_rows(s, d):
+    """The gene table in its order."""
+    return reports.by_place(gene_ranges(s, d), "mane_gene")

@@ -48,6 +48,11 @@ SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'S1' ELSE 'S2' END AS sample, 'chr' || c
 SELECT 'DR' || cast(l_orderkey AS STRING) || '_' || cast(l_linenumber AS STRING) AS did, CASE WHEN l_suppkey % 2 = 0 THEN 'S1' ELSE 'S2' END AS sample, 'chr' || cast(l_partkey % 5 + 1 AS STRING) AS chrom,
   (l_orderkey * 67 + l_partkey * 31) % 20000 + 1 AS start2, (l_orderkey * 67 + l_partkey * 31) % 20000 + 1 + l_suppkey * 13 % 500 AS end2 FROM lineitem""",
     "v_mane": "SELECT 'NM_' || cast(CASE WHEN p_partkey % 3 > 0 THEN p_partkey ELSE -p_partkey END AS STRING) AS transcript, 'G' || cast(p_partkey % 97 AS STRING) AS mane_gene FROM part",
+    "v_mane_lines": """
+SELECT 'NM_' || cast(CASE WHEN p_partkey % 3 > 0 THEN p_partkey ELSE -p_partkey END AS STRING) || '.2' AS transcript, CASE WHEN p_partkey % 97 = 10 THEN 'H' ELSE 'G' END || cast(p_partkey % 97 AS STRING) AS mane_gene, cast(p_partkey AS BIGINT) AS line FROM part""",
+    "v_gtf_parts": """
+SELECT CASE WHEN l_orderkey % 7 = 0 THEN 'other' ELSE 'G' || cast(l_partkey % 97 AS STRING) END AS gene, 'NM_' || cast(l_partkey AS STRING) AS transcript, 'chr' || cast(l_partkey % 5 + 1 AS STRING) AS chrom, '-' AS strand,
+  CASE l_orderkey % 5 WHEN 0 THEN 'transcript' WHEN 1 THEN 'exon' WHEN 2 THEN 'CDS' WHEN 3 THEN '5UTR' ELSE '3UTR' END AS feature, l_orderkey * 7 % 20000 + 1 AS start, l_orderkey * 7 % 20000 + 80 + l_linenumber AS \"end\" FROM lineitem""",
     "v_gtf": """
 SELECT 'NM_' || cast(l_partkey AS STRING) AS transcript, CASE l_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'other' ELSE 'G' || cast(l_partkey % 97 AS STRING) END AS gene_name, 'chr' || cast(l_partkey % 5 + 1 AS STRING) AS chrom,
   l_orderkey * 7 % 20000 + 1 AS start, l_orderkey * 7 % 20000 + 80 AS \"end\", '+' AS strand, cast(l_linenumber AS BIGINT) AS exon FROM lineitem""",

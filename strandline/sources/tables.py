@@ -71,6 +71,22 @@ def read_gtf(spark: SparkSession, path: str, feature: str = "exon") -> DataFrame
     return rows.filter(F.col("feature") == feature).select(strip_version(gtf_attribute(a, "transcript_id")).alias("transcript"), gtf_attribute(a, "gene_name").alias("gene_name"), gtf_attribute(a, "exon_number").alias("exon"), "chrom", "start", "end", "strand")
 
 
+def read_gtf_parts(spark: SparkSession, path: str) -> DataFrame:
+    """gene, transcript (without version), transcript_full, feature, chrom, strand, start, end, exon, exon_id of all features; rows without whole coordinates, gene or transcript go."""
+    f = F.split("value", "\t")
+    rows = spark.read.text(path).filter(r"trim(value) <> '' and not value like '#%'").filter(F.size(f) >= 9)
+    a, exon = F.get(f, 8), F.coalesce(gtf_attribute(F.get(f, 8), "exon_number"), F.lit("NA"))
+    full = gtf_attribute(a, "transcript_id")
+    out = rows.select(F.coalesce(gtf_attribute(a, "gene_name"), gtf_attribute(a, "gene_id")).alias("gene"), strip_version(full).alias("transcript"), full.alias("transcript_full"), f[2].alias("feature"), f[0].alias("chrom"), f[6].alias("strand"),
+                      f[3].try_cast("long").alias("start"), f[4].try_cast("long").alias("end"), exon.alias("exon"), F.coalesce(gtf_attribute(a, "exon_id"), F.concat(full, F.lit("."), exon)).alias("exon_id"))
+    return out.dropna(subset=["gene", "transcript", "start", "end"])
+
+
+def derived_path(path: str, kind: str) -> str:
+    """Name of a table beside the main one: x.clusters.tsv or x.tsv -> x.kind.tsv, anything else gets .kind.tsv."""
+    return re.sub(r"(\.clusters)?\.tsv$", "", path) + f".{kind}.tsv"
+
+
 def _depth_fields(spark: SparkSession, path: str) -> DataFrame:
     f = F.split(F.trim("value"), r"\s+")
     return spark.read.text(path).select("value", F.get(f, 0).alias("chrom"), F.get(f, 1).alias("p"), F.get(f, 2).alias("d"), F.monotonically_increasing_id().alias("line"))
