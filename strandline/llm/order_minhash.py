@@ -41,6 +41,7 @@ SPACES = b" \t\n\r\x0b\x0c"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 PART = 1 << 18  # characters of texts that are hashed at once
 BINS, BLOCK = 512, 256  # of the histograms of words, and texts in a block of an unresolved group
+FIRST, TASKS = 32, 4096  # pairs aligned at once in a block, and the most tasks that blocks are dealt to
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -160,10 +161,38 @@ def _slide(a: np.ndarray, b: np.ndarray, i: int, j: int) -> int:
     return n
 
 
+def bit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
+    """Edit distance of two arrays, neither empty, if it is at most ``limit``, else limit + 1.
+
+    A column of the distance matrix is two whole numbers, whose bits tell where it rises and falls (Myers, Hyyrö).
+    """
+    where: dict[int, int] = {}
+    for i, x in enumerate(a.tolist()):
+        where[x] = where.get(x, 0) | 1 << i
+    every, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    rise, fall, cost, left = every, 0, len(a), len(b)
+    for x in b.tolist():
+        same = where.get(x, 0)
+        flat = same | fall
+        across = ((same & rise) + rise ^ rise) | same
+        up, down = fall | every & ~(across | rise), rise & across
+        cost += bool(up & last) - bool(down & last)
+        left -= 1
+        if cost - left > limit:
+            return limit + 1
+        up = up << 1 | 1
+        rise, fall = (down << 1 | ~(flat | up)) & every, up & flat & every
+    return cost if cost <= limit else limit + 1
+
+
+#: Edits that are looked for diagonal by diagonal before two arrays of at most LONG words are aligned in whole columns.
+EDITS, LONG = 24, 4000
+
+
 def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     """Edit distance of two arrays if it is at most ``limit``, else limit + 1.
 
-    Diagonals within ``limit`` of the main one are extended edit by edit, all at once.
+    Diagonals within ``limit`` of the main one are extended edit by edit, all at once; texts with many edits are aligned by bits.
     """
     if abs(len(a) - len(b)) > limit:
         return limit + 1
@@ -179,6 +208,8 @@ def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     mid = limit + 2
     far[mid] = 0
     for d in range(1, limit + 1):
+        if d > EDITS and n <= LONG and m <= LONG:
+            return bit_distance(a, b, limit)
         lo, hi = mid - d, mid + d
         now = np.maximum(np.maximum(far[lo : hi + 1] + 1, far[lo - 1 : hi]), far[lo + 1 : hi + 2] + 1)
         diagonal = np.arange(-d, d + 1)
@@ -335,15 +366,21 @@ def late_links(large: DataFrame, labels: DataFrame, own: DataFrame, similarity:
             at = at[(label[at] != label[i]) & (not across or side[at] != side[i])]
             if len(at):
                 apart = (np.maximum(bins[at], bins[i]) - np.minimum(bins[at], bins[i])).sum(1, dtype=np.uint32)
-                at = [j for j in at[apart <= 2 * limit] if min(shared[i] & shared[j]) == band]  # once, not in every band they share
-                for j in np.array(at, int)[near_many([words[j] for j in at], words[i], similarity)] if at else ():
-                    if label[j] != label[i]:
-                        label[label == label[j]] = label[i]
-                        out.append((min(key[i], key[j]), max(key[i], key[j])))
+                at = at[np.argsort(apart, kind="stable")[: int((apart <= 2 * limit).sum())]]  # the likeliest first
+                at = np.array([j for j in at if min(shared[i] & shared[j]) == band], int)  # once, not in every band they share
+                while len(at):
+                    part, at = at[:FIRST], at[FIRST:]
+                    for j in part[near_many([words[j] for j in part], words[i], similarity)]:
+                        if label[j] != label[i]:
+                            label[label == label[j]] = label[i]
+                            out.append((min(key[i], key[j]), max(key[i], key[j])))
+                    at = at[label[at] != label[i]]  # a class joined needs no second link
         return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
     known = stash(known, "unresolved-words")
-    out = stash(dealt.join(known, "key").groupBy("band", "lo", "hi").applyInPandas(compare, "a string, b string").distinct(), "late-links")
+    # few bytes but much work: a stated number of tasks, which adaptive execution leaves alone
+    tasks = min(TASKS, left.select("band", "blocks").distinct().agg(F.sum(F.col("blocks") * (F.col("blocks") + 1) / 2)).first()[0] or 1)
+    out = stash(dealt.join(known, "key").repartition(int(tasks), "band", "lo", "hi").groupBy("band", "lo", "hi").applyInPandas(compare, "a string, b string").distinct(), "late-links")
     discard(members, left, known)
     return out
 
