@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import chat, image_features, mixing, order_minhash, packing, ppm, repeats, stable_projection, url_reputation, zipwarc
+from strandline.llm import byte_bpe as ranked_bpe
+from strandline.llm import chat, errata, hard_negatives, image_features, mixing, order_minhash, packing, ppm, repeats, stable_projection, url_reputation, zipwarc
 from strandline.llm.common import rows_of, table
 
 RULES = [
@@ -90,7 +91,34 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_zip_warc, op2_local_descriptors, op3_order_minhash, op4_pattern_packing, op5_stable_projection, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language, op10_repeated_passages)}
+def bpe_ranks() -> str:
+    """The place of the public vocabulary of ranks for many languages."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every document, then decodes the ids."""
+    out = ranked_bpe.decode(ranked_bpe.encode(table(spark, sf_dir, "documents"), bpe_ranks()), bpe_ranks())
+    said = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_errata_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups the words of all documents into spelling variants."""
+    return errata.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_pca_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 100; labels move on where 7 divides the id."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_zip_warc, op2_local_descriptors, op3_order_minhash, op4_pattern_packing, op5_stable_projection, op6_host_reputation, op7_mix_budgets, op8_reply_trees, op9_ppm_language, op10_repeated_passages, op11_byte_bpe, op12_errata_trie, op13_pca_negatives)}
 
 OP1_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -177,4 +205,38 @@ g AS (SELECT conv_id, count(*)::BIGINT AS n_turns,
 SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
 """
 
-ORACLE_SQL = {"op1_zip_warc": OP1_SQL, "op6_host_reputation": OP6_SQL, "op7_mix_budgets": OP7_SQL, "op8_reply_trees": OP8_SQL}
+OP12_SQL = r"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+low AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n FROM runs GROUP BY 1, 2),
+bits AS (SELECT w, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS x FROM low),
+summed AS (SELECT w, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(0, 4 * length(x)), lambda i: CASE WHEN i % 8 = 0 THEN ('0x' || substr(x, 2 * (i // 8) + 1, 2))::BIGINT ELSE 0 END)),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)))) AS h FROM bits),
+cut AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, n FROM summed),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gaps AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS v FROM (SELECT word, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+one AS (SELECT g.word AS a, w.word AS b FROM gaps g JOIN words w ON g.v = w.word),
+pairs AS (SELECT a, b FROM one UNION SELECT b, a FROM one
+          UNION SELECT g.word, o.word FROM gaps g JOIN gaps o ON g.i = o.i AND g.v = o.v AND g.word <> o.word),
+near AS (SELECT a AS word, b, w.n, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS r, count(*) OVER (PARTITION BY a) AS n_near FROM pairs JOIN words w ON w.word = b),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(x.n_near, 0)::BIGINT AS n_near, CASE WHEN x.n >= 2 * w.n THEN x.b END AS form, CASE WHEN x.n >= 2 * w.n THEN x.n END AS form_n
+          FROM words w LEFT JOIN near x ON x.word = w.word AND x.r = 1),
+chain AS (SELECT word, word AS root FROM forms UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, c.root FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
+OP13_SQL = """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS own, list_inner_product(a.v, b.v)::BIGINT AS score
+           FROM good a JOIN good b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positive AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r FROM scored WHERE own),
+found AS (SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+            row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INT AS rank
+          FROM positive p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.own AND 80 * p.score <= 100 * n.score AND n.score <= p.score WHERE p.r <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 5
+"""
+
+ORACLE_SQL = {"op1_zip_warc": OP1_SQL, "op6_host_reputation": OP6_SQL, "op7_mix_budgets": OP7_SQL, "op8_reply_trees": OP8_SQL, "op12_errata_trie": OP12_SQL, "op13_pca_negatives": OP13_SQL}
