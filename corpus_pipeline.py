@@ -7,14 +7,13 @@ brute force in tests/llm.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import mixing, order_minhash, packing, ppm, repeats
-from strandline.llm.common import shared_dir, table
+from strandline.llm.common import discard, stash, table
 from strandline.llm.queries import byte_bpe
 
 #: Repeats of this many bytes are cut: about 33 words. Of the runs of 51 words at sf0.01, 111 of 335,834 (in 4 documents) are shorter.
@@ -63,11 +62,14 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; intermediates are written in the shared folder."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents; what a stage returned is written in the shared folder, and deleted once the next one is written.
+
+    The last stage's input stays, as its result may still be read from it.
+    """
+    docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs.write.parquet(f"{folder}/{i}-{name}")
-            docs = spark.read.parquet(f"{folder}/{i}-{name}")
+            docs = stash(docs, f"pipeline-{i}-{name}")
+            discard(before)
     return docs

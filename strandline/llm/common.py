@@ -76,3 +76,9 @@ def null_safe(a, b):
 def ascii_lower(c):
     """A-Z only, unlike ``lower``."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def others(columns: list[str], names: tuple[str, ...]) -> list[str]:
+    """The columns that have none of the names, whatever the case, as Spark compares names."""
+    taken = {x.lower() for x in names}
+    return [c for c in columns if c.lower() not in taken]

@@ -21,7 +21,7 @@ their comparisons grow with the square of that group.
 
 Edge cases: null and empty texts are equal texts without words: they are exact copies of one another,
 and candidates of nothing else. Texts shorter than k words have one k-mer of all their words. Very long texts are
-read whole. Repeated rows and equal ids fall into one class. An empty table gives an empty result.
+read whole. Repeated rows and equal ids fall into one class. Columns of any name pass through keep_first. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -435,9 +435,9 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     rows = stash(found.groupBy("class_key", "doc_id", "key").agg(F.count("*").alias("rows")), "class-rows")
     kept = rows.groupBy("class_key").agg(F.min(F.struct(order.alias("o"), "rows")).alias("x"))
-    kept = stash(kept.select(F.col("x.o.doc_id").alias("_id"), F.col("x.o.key").alias("_key"), F.col("x.rows").alias("_rows")), "kept")
+    kept = stash(kept.select(F.col("x.o.doc_id").alias("id"), F.col("x.o.key").alias("digest"), F.col("x.rows").alias("rows")), "kept")
     discard(found, rows)
-    named = docs.withColumn("_k", text_key(F.col("text")))
-    out = named.join(kept.hint("shuffle_hash"), named.doc_id.eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")))
-    once = out.filter("_rows = 1").select(*docs.columns)
-    return once.union(out.filter("_rows > 1").dropDuplicates(["_id", "_key"]).select(*docs.columns))
+    named = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.struct("*").alias("row"))  # the row keeps any column names
+    out = named.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("digest")))
+    once = out.filter("rows = 1").select("row")
+    return once.union(out.filter("rows > 1").dropDuplicates(["id", "digest"]).select("row")).select("row.*")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import small_batches
+from strandline.llm.common import others, small_batches
 
 UNDETERMINED = "und"
 
@@ -162,7 +162,7 @@ def training_sample(docs: DataFrame, docs_per_lang: int) -> dict[str, list[bytes
 def identify(docs: DataFrame, docs_per_lang: int = 300, order: int = 4) -> DataFrame:
     """docs (doc_id, text, lang, ...) -> the same columns, held_out, lang_pred, score, bits (a byte, under lang_pred; null where nothing was judged).
 
-    Columns of docs with one of these four names are replaced.
+    Columns of docs with one of these four names, in any case, are replaced.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -175,5 +175,5 @@ def identify(docs: DataFrame, docs_per_lang: int = 300, order: int = 4) -> DataF
             yield pd.DataFrame({"lang_pred": langs, "score": scores, "bits": rates})
 
     out = docs.select(F.struct("*").alias("_row"), judge.asNondeterministic()(F.col("text")).alias("_judged"))  # else a filter on it runs it twice
-    kept = [F.col(f"_row.`{c}`") for c in docs.columns if c not in ("held_out", "lang_pred", "score", "bits")]
+    kept = [F.col(f"_row.`{c}`") for c in others(docs.columns, ("held_out", "lang_pred", "score", "bits"))]
     return out.select(*kept, held_out(F.col("_row.doc_id")).alias("held_out"), "_judged.lang_pred", "_judged.score", F.nanvl("_judged.bits", F.lit(None)).alias("bits"))

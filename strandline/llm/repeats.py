@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import discard, small_batches, stash
+from strandline.llm.common import discard, others, small_batches, stash
 from strandline.llm.order_minhash import MULTIPLIER, _powers, mix
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * MULTIPLIER)
@@ -390,11 +390,12 @@ def _removed(docs: DataFrame, min_bytes: int, group_limit: int, kept_type: str,
 
 
 def remove_repeats(docs: DataFrame, min_bytes: int = 400, group_limit: int = 1024) -> DataFrame:
-    """docs (text, ...) -> the same columns, n_bytes, removed_spans (maximal), kept_bytes (binary)."""
+    """docs (text, ...) -> the same columns, n_bytes, removed_spans (maximal), kept_bytes (binary), which replace columns of these names in any case."""
     out = _removed(docs, min_bytes, group_limit, "binary")
     none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
     spans, kept = F.coalesce("_cut.spans", none), F.coalesce("_cut.kept", F.coalesce("text", F.lit("")).cast("binary"))
-    return out.select("_row.*", F.col("n").alias("n_bytes"), spans.alias("removed_spans"), kept.alias("kept_bytes"))
+    rest = [F.col(f"_row.`{c}`") for c in others(docs.columns, ("n_bytes", "removed_spans", "kept_bytes"))]
+    return out.select(*rest, F.col("n").alias("n_bytes"), spans.alias("removed_spans"), kept.alias("kept_bytes"))
 
 
 def drop_repeats(docs: DataFrame, min_bytes: int, group_limit: int = 1024, keep_first: bool = True) -> DataFrame:

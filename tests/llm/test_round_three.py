@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.llm import byte_bpe, errata, hard_negatives
+from strandline.llm import byte_bpe, errata, hard_negatives, order_minhash, ppm, repeats
 from strandline.llm.queries import QUERIES, bpe_ranks
 
 SF = "/root/testdata/sf0.001"
@@ -182,3 +182,19 @@ def test_discards_leave_every_pair_that_counts():
     i, j, score = hard_negatives.survivors(hard_negatives.Block(a, basis), hard_negatives.Block(b, basis), np.ones(whole.shape, bool), low, high)
     want = (whole >= low[:, None]) & (whole <= high[:, None])
     assert len(i) == want.sum() and want[i, j].all() and (whole[i, j] == score).all()
+
+
+def test_columns_of_any_name_pass(spark):
+    names = ["_id", "_key", "_rows", "_k", "row", "id", "digest", "rows", "K", "n_bytes", "Removed_Spans", "Score", "_row", "_cut", "Held_Out"]
+    text = "one two three four five six seven eight nine ten " * 12
+    rows = [(i, t, "en", *(f"{n}{i}" for n in names)) for i, t in enumerate([text, text + "eleven", None, "", "short"])]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", *names])
+    kept = order_minhash.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2], rows[4]], key=str)
+    out = repeats.remove_repeats(docs, 40)
+    assert out.columns == [c for c in docs.columns if c not in ("n_bytes", "Removed_Spans")] + ["n_bytes", "removed_spans", "kept_bytes"]
+    assert out.select("n_bytes", "_id").collect() and {r["_k"] for r in out.collect()} == {f"_k{i}" for i in range(5)}
+    assert repeats.drop_repeats(docs, 40).columns == docs.columns
+    judged = ppm.identify(docs)
+    assert judged.columns == [c for c in docs.columns if c not in ("Score", "Held_Out")] + ["held_out", "lang_pred", "score", "bits"]
+    assert judged.select("score").count() == 5
