@@ -1,13 +1,12 @@
 import os
 import random
-import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import genome as G
 from strandline.operators import depth as D
-from strandline.operators import evidence, folds, intervals, reads, regions
+from strandline.operators import evidence, intervals, reads, regions
 from strandline.plans.queries import QUERIES, SQL
 from strandline.plans.views import view
 from strandline.sources import tables
@@ -31,40 +30,6 @@ def test_cigar(spark):
     assert [r[0] for r in df.select(G.cigar_ref_length(F.col("c"))).collect()] == [105, 0, 0]
 
 
-def slow_clusters(events, window):
-    out, a, b, n = [], [], [], 0
-    half_up = lambda x: int(statistics.median(x) + 0.5)
-    for s, e in events:
-        if not a or abs(s - half_up(a)) > window or abs(e - half_up(b)) > window:
-            n, a, b = n + 1, [], []
-        a.append(s)
-        b.append(e)
-        out.append(n)
-    return out
-
-
-def test_greedy_clusters_equal_a_plain_loop(spark):
-    rng = random.Random(3)
-    events = sorted((rng.randint(1, 900), 0, i) for i in range(300))
-    events = [(s, s + rng.randint(5, 60), i) for s, _, i in events]
-    events.sort(key=lambda x: (x[0], x[1], x[2]))
-    want = slow_clusters([(s, e) for s, e, _ in events], 20)
-    df = spark.createDataFrame([("S", "chr1", s, e, f"{i:04d}") for s, e, i in events], "sample string, chrom string, sv_start long, sv_end long, qname string")
-    got = folds.greedy_clusters(df, ["sample", "chrom"], ["qname"], 20, "X", islands=2).orderBy("sv_start", "sv_end", "qname").collect()
-    assert [int(r["cluster_id"][2:]) for r in got] == want
-
-
-def test_moving_median_splits_what_single_linkage_joins():
-    starts = [141, 146, 146, 162, 167, 179]
-    assert folds.greedy_labels(starts, [204] * 6, 20) == [1, 1, 1, 1, 2, 2]
-
-
-def test_cusum_resets_and_trims():
-    ratios = [1.0] * 10 + [0.2] * 20 + [1.0] * 10 + [0.1] * 20
-    assert [(a, b) for a, b, _ in folds.cusum_scan(ratios, 0.1, 5, 0.8, 0.8, 3)] == [(10, 29), (40, 59)]
-    assert folds.cusum_scan([1.0] * 50, 0.1, 5, 0.8, 0.8, 3) == []
-
-
 def test_window_laws(spark):
     genes = spark.createDataFrame([("a", 1, 1206), ("b", 1, 16330), ("c", 1, 150)], "gene string, start long, end long")
     n = {r["gene"]: r["count"] for r in D.sliding_windows(genes, 500, 200, 200).groupBy("gene").count().collect()}
