@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from strandline.operators import depth as D
@@ -10,6 +12,8 @@ from strandline.operators import folds, intervals, regions, reports, simulate
 from strandline.operators import reads as R
 from strandline.functions import genome as G
 from strandline.plans.views import view, with_views
+from strandline.sources import bam
+from strandline.sources.written import shared_folder
 
 QUERIES, SQL = {}, {}
 WINDOW, STEP, LEAST = 20, 8, 8
@@ -19,7 +23,7 @@ def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = with_views(sql)
+            SQL[f.__name__] = sql if sql in SQL.values() else with_views(sql)
         return f
 
     return add
@@ -79,6 +83,25 @@ def region_semi_join(s, d):
     return intervals.interval_join(r, regions.merged_targets(_targets(s, d)).select("chrom", F.col("start").alias("start2"), F.col("end").alias("end2")), "left_semi")
 
 
+def _as_bam(s, d) -> str:
+    """The reads as sorted, indexed BAM parts; chr9 holds mates only."""
+    path = f"{shared_folder(s)}/reads-{uuid.uuid4().hex}.bam"
+    bam.write_bam(view(s, d, "v_reads"), path, [(r["chrom"], r["length"]) for r in view(s, d, "v_lengths").orderBy("chrom").collect()] + [("chr9", 20000)])
+    return path
+
+
+@query(SQL["region_semi_join"])
+def bam_region_scan(s, d):
+    spans = [(r["chrom"], r["start"], r["end"]) for r in regions.merged_targets(_targets(s, d)).select("chrom", "start", "end").collect()]  # as many as there are core genes, at most
+    r = bam.read_bam(s, _as_bam(s, d), spans)
+    return r.select("sample", "qname", "chrom", F.col("pos").alias("start"), (F.col("pos") + G.cigar_ref_length(F.col("cigar")) - 1).alias("end"))
+
+
+@query("SELECT sample, qname, flag, chrom, pos, mapq, cigar, rnext, pnext, tlen, sa FROM v_reads")
+def bam_round_trip(s, d):
+    return bam.read_bam(s, _as_bam(s, d), split_bytes=1 << 20)
+
+
 @query(f"""WITH {TARGETS},
 u AS (SELECT * FROM v_reads WHERE flag & 3844 = 0 AND mapq >= 20),
 b AS (SELECT sample, chrom, pos AS s, pos + CASE cigar WHEN '100M' THEN 99 WHEN '60M40S' THEN 59 WHEN '30S70M' THEN 69 ELSE 39 END AS e FROM u
