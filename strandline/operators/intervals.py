@@ -38,14 +38,55 @@ def binned_pairs(left: DataFrame, right: DataFrame, keys: tuple[str, ...], bin_s
     return a.hint("merge").join(b, on).drop("_r__bin", *[f"_r_{k}" for k in keys])
 
 
-def interval_join(left: DataFrame, right: DataFrame, how: str = "inner", keys: tuple[str, ...] = ("chrom",), bin_size: int | None = None) -> DataFrame:
-    """Joins left (keys, start, end) with right (keys, start2, end2) on null-safe keys and overlap, in bins.
+LEAST, STEP = 6, 3  # level k has bins of 2 ** (LEAST + STEP * k) bases
+FAR = 2  # levels further apart than this meet in bins that many levels below the longer one's
+
+
+def level_of(start: Column, end: Column) -> Column:
+    """The level whose bins are as long as the interval, up to eight times as long."""
+    return F.greatest(F.lit(0), F.ceil((F.log2(end - start + 1) - LEAST) / STEP)).cast("int")
+
+
+def meeting_level(a: Column, b: Column) -> Column:
+    """Where intervals of two levels meet: the longer one is then dealt to 65 bins at most, the shorter one to two."""
+    top = F.greatest(a, b)
+    return F.when(F.abs(a - b) <= FAR, top).otherwise(top - FAR)
+
+
+def in_levels(df: DataFrame, levels: Column, start: str, end: str) -> DataFrame:
+    """A row for each bin that [start, end] touches on the levels where it meets intervals of ``levels`` (an array), with _own (its level), _level and _bin."""
+    own = df.filter(F.col(start) <= F.col(end)).withColumn("_own", level_of(F.col(start), F.col(end)))
+    dealt = own.withColumn("_level", F.explode(F.array_distinct(F.transform(levels, lambda k: meeting_level(F.col("_own"), k)))))
+    at = lambda c: F.call_function("shiftright", F.col(c).cast("long"), LEAST + STEP * F.col("_level"))
+    return dealt.withColumn("_bin", F.explode(F.sequence(at(start), at(end))))
+
 
-    bin_size is taken from the mean lengths where it is not given (a small aggregate of both sides). A left row's fate in
+def level_pairs(left: DataFrame, right: DataFrame, keys: tuple[str, ...], more: Column | None = None) -> DataFrame:
+    """Overlapping pairs of left (keys, start, end) and right (keys, start2, end2), each once, whatever mix of lengths there is.
+
+    Intervals have the level of their length, and two meet on one level, in the first bin that both touch there. A few long intervals so meet many short ones in up to 65 bins
+    for each two of the long one's, and not in one. Which levels the other side has (at most twenty numbers) is a scalar subquery of the plan: nothing runs before the join does.
+    """
+    present = lambda df, s, e: df.filter(F.col(s) <= F.col(e)).agg(F.collect_set(level_of(F.col(s), F.col(e)))).scalar()
+    a = in_levels(left.withColumn("_levels", present(right, "start2", "end2")), F.col("_levels"), "start", "end").drop("_levels")
+    b = in_levels(right.withColumn("_levels", present(left, "start", "end")), F.col("_levels"), "start2", "end2").drop("_levels")
+    b = b.withColumnsRenamed({c: f"_r_{c}" for c in (*keys, "_bin", "_level", "_own")})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    on += [F.col("_level") == F.col("_r__level"), F.col("_bin") == F.col("_r__bin"), F.col("start") <= F.col("end2"), F.col("end") >= F.col("start2")]
+    first = F.call_function("shiftright", F.greatest("start", "start2").cast("long"), LEAST + STEP * F.col("_level"))
+    on += [F.col("_level") == meeting_level(F.col("_own"), F.col("_r__own")), F.col("_bin") == first]
+    if more is not None:
+        on.append(more)
+    return a.hint("merge").join(b, on).drop("_own", "_level", "_bin", "_r__own", "_r__level", "_r__bin", *[f"_r_{k}" for k in keys])
+
+
+def interval_join(left: DataFrame, right: DataFrame, how: str = "inner", keys: tuple[str, ...] = ("chrom",), bin_size: int | None = None) -> DataFrame:
+    """Joins left (keys, start, end) with right (keys, start2, end2) on null-safe keys and overlap, in bins: of
+    bin_size, or where it is not given of levels by length. A left row's fate in
     ``left_semi``, ``left_anti`` and ``left`` depends on its keys, start and end alone, so those are matched once
     and joined back.
     """
-    pairs = binned_pairs(left, right, keys, bin_size or bin_width(left, right))
+    pairs = binned_pairs(left, right, keys, bin_size) if bin_size else level_pairs(left, right, keys)
     if how == "inner":
         return pairs.select(*left.columns, *[c for c in right.columns if c not in keys])
     place = [*keys, "start", "end"]
