@@ -13,12 +13,28 @@ from strandline.functions.genome import gtf_attribute, na_to_null, strip_version
 
 def read_tsv(spark: SparkSession, path: str, schema: StructType | None = None, required: list[str] | None = None) -> DataFrame:
     """A table with a header; NA, empty and missing cells are null. Required columns must be there."""
-    df = spark.read.csv(path, sep="\t", header=True, nullValue="NA", enforceSchema=False, schema=schema)
+    df = spark.read.csv(path, sep="\t", header=True, nullValue="NA", enforceSchema=False, schema=schema, quote="", escape="")
     if lost := [c for c in required or [] if c not in df.columns]:
         raise ValueError(f"columns missing in {path}: {', '.join(lost)}")
     return df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
+def read_loose(spark: SparkSession, path: str) -> DataFrame:
+    """A table with a header, its cells parted by tabs where a line has one, else by white space. All columns are text, trimmed; NA, empty and missing cells
+    are null, cells too many belong to the last one, blank lines go, and so do repeats of the header (of further files). An empty table or column name is an error."""
+    lines = spark.read.text(path).select(F.rtrim(F.col("value"), F.lit("\r")).alias("value")).filter(r"value rlike '\\S'")
+    first = lines.first()
+    if first is None:
+        raise ValueError(f"no header in {path}")
+    header = first["value"].strip()
+    names = [x.strip() for x in (header.split("\t") if "\t" in header else header.split())]
+    if not all(names):
+        raise ValueError(f"an empty column name in {path}")
+    cells = F.when(F.col("value").contains("\t"), F.split("value", "\t", len(names))).otherwise(F.split(F.trim("value"), r"\s+", len(names)))
+    rows = lines.filter(F.trim(F.col("value")) != header).select(cells.alias("cells"))
+    return rows.select(*[na_to_null(F.trim(F.get("cells", F.lit(i)))).alias(c) for i, c in enumerate(names)])
+
+
 def resolve_columns(df: DataFrame, wanted: dict[str, list[str]], optional: tuple[str, ...] = ()) -> DataFrame:
     """Renames by ordered aliases, exact names first, then any case."""
     lower = {c.lower(): c for c in reversed(df.columns)}
@@ -31,23 +47,58 @@ def resolve_columns(df: DataFrame, wanted: dict[str, list[str]], optional: tuple
     return df.select(*out)
 
 
+def tsv_line(df: DataFrame) -> F.Column:
+    """A row as text: cells as they are, but control characters as blanks and null or empty ones as NA."""
+    cell = lambda c, t: F.translate(F.col(f"`{c}`"), "\r\n\t", "   ") if t == "string" else F.col(f"`{c}`").cast("string")
+    filled = [F.when(F.coalesce(cell(c, t), F.lit("")) == "", F.lit("NA")).otherwise(cell(c, t)) for c, t in df.dtypes]
+    return F.concat_ws("\t", *filled).alias("value")
+
+
 def write_tsv(df: DataFrame, path: str, one_file: bool = True) -> None:
-    """A table with header, also if it has no rows; null is NA, control characters are blanks."""
-    text = [F.translate(F.col(c), "\r\n\t", "   ").alias(c) if t == "string" else F.col(c).cast("string").alias(c) for c, t in df.dtypes]
-    out = df.select(*text)
-    if one_file:
-        out = out.coalesce(1)
-    if out.isEmpty():
-        out = df.sparkSession.createDataFrame([("\t".join(df.columns),)], "value string").coalesce(1)
-        out.write.mode("overwrite").text(path)
+    """A table with header, also if it has no rows; null and empty cells are NA, control characters are blanks, all else is raw."""
+    lines, head = df.select(tsv_line(df)), "\t".join(df.columns)
+    if one_file:  # the header is the first row of the one task
+        spark = df.sparkSession
+        top = spark.createDataFrame([(head,)], "value string").coalesce(1)
+        top.union(lines.coalesce(1)).coalesce(1).write.mode("overwrite").text(path)
     else:
-        out.write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="NA", emptyValue="NA")
+        lines.write.mode("overwrite").text(path)
+        write_header(df.sparkSession, path, head)
+
+
+HEADER = "header.txt"
+
+
+def write_header(spark: SparkSession, folder: str, head: str) -> None:
+    """The header as a file whose name comes before those of the parts."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    at = jvm.Path(f"{folder}/{HEADER}")
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(f"{head}\n".encode()))
+    out.close()
+
+
+def write_ordered(df: DataFrame, path: str, order: list, parts: int | None = None) -> None:
+    """A table in a stated order, over many tasks: parts of ranges, sorted, in the order of their names, behind one header file. ``cat header.txt part-*`` is the whole table."""
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
+    dealt = df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    dealt.select(tsv_line(df)).write.mode("overwrite").text(path)
+    write_header(df.sparkSession, path, "\t".join(df.columns))
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """What write_ordered (or write_tsv in many files) wrote: text columns, NA as null, _part and _line (the order of rows)."""
+    names = spark.read.text(f"{path}/{HEADER}").first()["value"].split("\t")
+    lines = spark.read.text(path, pathGlobFilter="part-*").select("value", F.col("_metadata.file_name").alias("_part"), F.monotonically_increasing_id().alias("_line"))
+    cells = F.split("value", "\t")
+    return lines.select(*[na_to_null(F.get(cells, F.lit(i))).alias(c) for i, c in enumerate(names)], "_part", "_line")
 
 
 def write_bed(df: DataFrame, path: str) -> None:
     """chrom, start (from 0), end, genes, without header; starts must be below ends."""
     checked = df.withColumn("start", F.when(F.col("start").between(0, F.col("end") - 1), F.col("start")).otherwise(F.raise_error(F.lit("an empty or negative interval"))))
-    checked.select("chrom", "start", "end", "genes").coalesce(1).write.mode("overwrite").csv(path, sep="\t")
+    checked.select("chrom", "start", "end", "genes").coalesce(1).write.mode("overwrite").csv(path, sep="\t", quote="", escape="")
 
 
 def key_values(df: DataFrame) -> DataFrame:
