@@ -63,6 +63,13 @@ def merged_regions(s, d):
     return regions.merged_targets(_targets(s, d))
 
 
+@query(f"WITH {MERGED.replace('500', '340')} SELECT * FROM m")
+def regions_apart(s, d):
+    """With flanks at which some neighbours merge and some do not."""
+    genes = core_gene_regions(s, d).select("gene", "chrom", "start", "end")
+    return regions.merged_targets(regions.target_regions(genes, view(s, d, "v_lengths"), 340))
+
+
 @query(f'WITH {MERGED} SELECT chrom, start - 1 AS start, "end", gene AS genes FROM m')
 def bed(s, d):
     return regions.to_bed(regions.merged_targets(_targets(s, d)))
@@ -344,6 +351,23 @@ def merge_evidence(s, d):
     return E.merge_evidence(view(s, d, "v_split"), view(s, d, "v_depth_iv"), view(s, d, "v_disc_iv"))
 
 
+# What counts of evidence as callers give it, with intervals turned and chromosomes named alike.
+COUNTED = """us AS (SELECT id, sample, chrom, least(start, "end") AS start, greatest(start, "end") AS "end", status FROM v_split_raw WHERE nullif(status, 'NA') IS NULL OR lower(status) = 'pass'),
+ud AS (SELECT sample, CASE WHEN chrom LIKE 'chr%' THEN chrom ELSE 'chr' || chrom END AS chrom, least(start2, end2) AS start2, greatest(start2, end2) AS end2 FROM v_depth_raw WHERE svtype IS NULL OR lower(svtype) LIKE '%del%'),
+up AS (SELECT did, sample, CASE WHEN chrom LIKE 'chr%' THEN chrom ELSE 'chr' || chrom END AS chrom, least(start2, end2) AS start2, greatest(start2, end2) AS end2 FROM v_disc_raw WHERE status IS NULL OR NOT regexp_matches(lower(status), 'discard|fail|low'))"""
+MERGE_RAW = f"{COUNTED}, {MERGE.replace('v_split', 'us').replace('v_depth_iv', 'ud').replace('v_disc_iv', 'up')}"
+
+
+@query(f"WITH {MERGE_RAW} SELECT * FROM mg")
+def merge_given_evidence(s, d):
+    return E.merge_evidence(view(s, d, "v_split_raw"), view(s, d, "v_depth_raw"), view(s, d, "v_disc_raw"))
+
+
+@query(f"WITH {MERGE_RAW} SELECT evidence_level, evidence_types, status, count(*) AS n FROM mg GROUP BY 1, 2, 3")
+def given_level_counts(s, d):
+    return merge_given_evidence(s, d).groupBy("evidence_level", "evidence_types", "status").agg(F.count("*").alias("n"))
+
+
 @query(f"WITH {MERGE} SELECT evidence_level, count(*) AS n FROM mg GROUP BY 1")
 def level_counts(s, d):
     return merge_evidence(s, d).groupBy("evidence_level").agg(F.count("*").alias("n"))
