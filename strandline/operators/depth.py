@@ -10,11 +10,11 @@ from strandline.operators.intervals import interval_join
 BLOCK_BIN = 4096  # aligned blocks are short; a gene is a few to some hundred bins
 
 
-def pileup(reads: DataFrame, regions: DataFrame, required: int = 0, excluded: int = 4 + 256 + 512 + 1024 + 2048, min_mapq: int = 20) -> DataFrame:
-    """Depth at every position of the regions (gene, chrom, start, end), zeros included.
+def depth_runs(reads: DataFrame, regions: DataFrame, required: int = 0, excluded: int = 4 + 256 + 512 + 1024 + 2048, min_mapq: int = 20) -> DataFrame:
+    """Depth over the regions (gene, chrom, start, end) as runs of equal sums: sample, gene, chrom, start, end, depth; zeros included, every position in one run.
 
     Each aligned block (M, =, X; D and N only advance) adds one at its start and takes one off after its end; depth is the running
-    sum, so no read is expanded to bases. Rows: sample, gene, chrom, pos, depth.
+    sum over those places, summed up with map-side combine, so neither reads nor regions are expanded to bases.
     """
     use = reads.filter((F.col("flag").bitwiseAND(required) == required) & (F.col("flag").bitwiseAND(excluded) == 0) & (F.col("mapq") >= min_mapq))
     ops = F.transform(F.regexp_extract_all("cigar", F.lit(r"([0-9]+[MDN=X])"), F.lit(1)), lambda x: F.struct(F.regexp_extract(x, "^[0-9]+", 0).cast("long").alias("n"), F.regexp_extract(x, ".$", 0).alias("op")))
@@ -24,11 +24,28 @@ def pileup(reads: DataFrame, regions: DataFrame, required: int = 0, excluded: in
     place = regions.select("gene", "chrom", F.col("start").alias("start2"), F.col("end").alias("end2"))
     hit = interval_join(b.select("sample", F.col("c").alias("chrom"), F.col("s").alias("start"), F.col("e").alias("end")), place, bin_size=BLOCK_BIN)
     hit = hit.select("sample", "gene", "chrom", F.col("start").alias("s"), F.col("end").alias("e"), F.col("start2").alias("start"), F.col("end2").alias("end"))
-    delta = hit.select("sample", "gene", "chrom", "start", "end", F.explode(F.array(F.struct(F.greatest("s", "start").alias("pos"), F.lit(1).alias("d")), F.struct((F.least("e", "end") + 1).alias("pos"), F.lit(-1).alias("d")))).alias("x"))
-    delta = delta.groupBy("sample", "gene", "chrom", F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d"))
-    grid = reads.select("sample").distinct().crossJoin(regions).select("sample", "gene", "chrom", F.explode(F.sequence("start", "end")).alias("pos"))
-    order = Window.partitionBy("sample", "gene").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return grid.join(delta, ["sample", "gene", "chrom", "pos"], "left").select("sample", "gene", "chrom", "pos", F.sum(F.coalesce("d", F.lit(0))).over(order).alias("depth"))
+    place = ["sample", "gene", "chrom", "start", "end"]
+    two = lambda first, behind, d: F.explode(F.array(F.struct(first.alias("pos"), F.lit(d).alias("d")), F.struct((behind + 1).alias("pos"), F.lit(-d).alias("d")))).alias("x")
+    steps = hit.select(*place, two(F.greatest("s", "start"), F.least("e", "end"), 1)).groupBy(*place, F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d"))
+    edges = reads.select("sample").distinct().crossJoin(regions).select(*place, two(F.col("start"), F.col("end"), 0)).select(*place, "x.pos", F.col("x.d").cast("long").alias("d"))
+    points = steps.union(edges).groupBy(*place, "pos").agg(F.sum("d").alias("d"))
+    order = Window.partitionBy(*place).orderBy("pos")
+    runs = points.withColumn("depth", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("next", F.lead("pos").over(order)).filter("next is not null")
+    return runs.select("sample", "gene", "chrom", F.col("pos").alias("start"), (F.col("next") - 1).alias("end"), "depth")
+
+
+def joined_runs(runs: DataFrame) -> DataFrame:
+    """Runs with neighbours of equal depth made one (blocks that end where others begin leave such)."""
+    order = Window.partitionBy("sample", "gene", "chrom").orderBy("start")
+    same = (F.col("depth") == F.lag("depth").over(order)) & (F.col("start") == F.lag("end").over(order) + 1)
+    numbered = runs.withColumn("run", F.sum(F.when(same, 0).otherwise(1)).over(order))
+    return numbered.groupBy("sample", "gene", "chrom", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("depth").alias("depth")).drop("run")
+
+
+def pileup(reads: DataFrame, regions: DataFrame, required: int = 0, excluded: int = 4 + 256 + 512 + 1024 + 2048, min_mapq: int = 20) -> DataFrame:
+    """depth_runs as a row a position: sample, gene, chrom, pos, depth."""
+    runs = depth_runs(reads, regions, required, excluded, min_mapq)
+    return runs.select("sample", "gene", "chrom", F.explode(F.sequence("start", "end")).alias("pos"), "depth")
 
 
 def gene_mean_depth(depth: DataFrame, genes: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = sql if sql in SQL.values() else with_views(sql)
+            SQL[f.__name__] = sql if re.match(r"\s*WITH (RECURSIVE )?v_", sql) else with_views(sql)  # as it is, if the views are there
         return f
 
     return add
@@ -121,6 +122,14 @@ def pileup_depth(s, d):
     return D.pileup(view(s, d, "v_reads"), _targets(s, d).select("gene", "chrom", "start", "end"))
 
 
+@query(SQL["pileup_depth"].rsplit("SELECT p.sample", 1)[0] + """, q AS (SELECT p.sample, p.gene, p.chrom, p.pos, coalesce(c.n, 0)::BIGINT AS depth FROM p LEFT JOIN c USING (sample, gene, pos)),
+st AS (SELECT *, CASE WHEN depth = lag(depth) OVER (PARTITION BY sample, gene ORDER BY pos) THEN 0 ELSE 1 END AS fresh FROM q),
+rn AS (SELECT *, sum(fresh) OVER (PARTITION BY sample, gene ORDER BY pos) AS run FROM st)
+SELECT sample, gene, chrom, min(pos) AS start, max(pos) AS "end", any_value(depth) AS depth FROM rn GROUP BY sample, gene, chrom, run""")
+def depth_run_lengths(s, d):
+    return D.joined_runs(D.depth_runs(view(s, d, "v_reads"), _targets(s, d).select("gene", "chrom", "start", "end")))
+
+
 MEAN = 'gm AS (SELECT g.gene, g.start, g."end", coalesce(sum(depth), 0)::DOUBLE / (g."end" - g.start + 1) AS gene_mean FROM v_depth_genes g LEFT JOIN v_depth d ON d.gene = g.gene AND d.pos BETWEEN g.start AND g."end" GROUP BY g.gene, g.start, g."end")'
 
 
