@@ -198,3 +198,41 @@ def test_columns_of_any_name_pass(spark):
     judged = ppm.identify(docs)
     assert judged.columns == [c for c in docs.columns if c not in ("Score", "Held_Out")] + ["held_out", "lang_pred", "score", "bits"]
     assert judged.select("score").count() == 5
+
+
+def test_code_lengths_of_the_querys_own_model():
+    """Order 4, contexts of 3 and 4 bytes used once dropped, costs packed as whole 1/1024 bits."""
+    rng = random.Random(13)
+    say = lambda words, n: b" ".join(rng.choice(words) for _ in range(n))
+    train = {"a": [say([b"abra", b"cad", b"abba", b"dab"], 60), say([b"abra", b"bad"], 30)], "b": [say([b"hocus", b"pocus", b"cab"], 50), b"x"]}
+    order, counts, uses = 4, {}, Counter()
+    for lang, texts in train.items():
+        for x in texts:
+            for i in range(len(x)):
+                for k in range(min(order, i) + 1):
+                    counts.setdefault((lang, x[i - k : i]), Counter())[x[i]] += 1
+                    uses[x[i - k : i]] += 1
+    kept = {c for c, n in uses.items() if len(c) < 3 or n >= 2}
+
+    def bits(lang, text):
+        total = 0.0
+        for i, byte in enumerate(text):
+            for k in range(min(order, i), -1, -1):
+                own = counts.get((lang, text[i - k : i])) if text[i - k : i] in kept else None
+                if own:
+                    whole = sum(own.values()) + len(own)
+                    if byte in own:
+                        total += np.log2(whole / own[byte])
+                        break
+                    total += np.log2(whole / len(own))
+            else:
+                total += 8
+        return total
+
+    assert len(kept) < len(uses)
+    model = ppm.fit(train, order, 2).packed()
+    texts = [say([b"abra", b"hocus", b"cab"], 40), b"abbahocus xyz", b"zzz", b"a", b""]
+    got = ppm.code_lengths(model, texts, 16)
+    for text, row in zip(texts, got, strict=True):
+        for lang, x in zip(("a", "b"), row, strict=True):
+            assert abs(x - bits(lang, text)) <= len(text) / 2048 + 1e-3 * max(1, len(text)) / 10
