@@ -236,3 +236,21 @@ def test_code_lengths_of_the_querys_own_model():
     for text, row in zip(texts, got, strict=True):
         for lang, x in zip(("a", "b"), row, strict=True):
             assert abs(x - bits(lang, text)) <= len(text) / 2048 + 1e-3 * max(1, len(text)) / 10
+
+
+def test_near_copies_of_stated_documents_share_their_class(spark):
+    """Every document whose id is divisible by 20, against all others: those within the edit similarity must be of one class."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    hashes, counts = order_minhash.word_hashes([r["text"] for r in rows])
+    ends = np.cumsum(counts)
+    words = [(hashes[e - n : e] >> np.uint64(32)).astype("<u4") for e, n in zip(ends, counts, strict=True)]
+    label = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(docs).collect()}
+    met = missed = 0
+    for i, own in enumerate(rows):
+        if own["doc_id"] % 20 == 0 and len(words[i]):
+            for j, other in enumerate(rows):
+                if i != j and len(words[j]) and order_minhash.near(words[i], words[j], 0.8):
+                    met += 1
+                    missed += label[own["doc_id"]] != label[other["doc_id"]]
+    assert met >= 5 and missed <= 0.02 * met, (met, missed)
