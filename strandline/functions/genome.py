@@ -96,6 +96,20 @@ def fixed(c: Column, digits: int) -> Column:
     return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", F.bround(c, digits)))
 
 
+def fixed_exact(c: Column, digits: int) -> Column:
+    """Text of a number from 0 up with so many decimals, rounded by the double's exact binary value as in C (halves of that value to even).
+
+    The product with a power of ten is taken in two exact parts, so the side of a half on which it lies is not lost in rounding.
+    """
+    power = 10**digits
+    wide = c * 134217729.0  # 2 ** 27 + 1 splits a double in two halves
+    high = wide - (wide - c)
+    down = F.floor(c * power)
+    side = (high * (2.0 * power) - (2 * down + 1)) + (c - high) * (2.0 * power)
+    whole = F.when((side > 0) | ((side == 0) & (down % 2 == 1)), down + 1).otherwise(down)
+    return F.concat(F.floor(whole / power).cast("string"), F.lit("."), F.lpad((whole % power).cast("string"), digits, "0"))
+
+
 def file_safe(c: Column) -> Column:
     """Runs of anything but word characters, dots and hyphens are one underscore."""
     return F.regexp_replace(c, r"[^\w.\-]+", "_")

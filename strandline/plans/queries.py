@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import depth as D
 from strandline.operators import evidence as E
-from strandline.operators import folds, intervals, regions, reports, simulate
+from strandline.operators import candidates, folds, intervals, regions, reports, simulate
 from strandline.operators import reads as R
 from strandline.functions import genome as G
 from strandline.plans.views import view, with_views
@@ -377,6 +377,36 @@ def given_level_counts(s, d):
     return merge_given_evidence(s, d).groupBy("evidence_level", "evidence_types", "status").agg(F.count("*").alias("n"))
 
 
+# Every column of merged candidates: lists in the order of coordinates, then names.
+TABLE = f"""{MERGE_RAW}, gd AS (SELECT id, gene, support_reads, support_records FROM v_split_given),
+fd AS (SELECT sample, chrom AS shown, CASE WHEN chrom LIKE 'chr%' THEN chrom ELSE 'chr' || chrom END AS chrom, least(start2, end2) AS start2, greatest(start2, end2) AS end2, coalesce(nullif(depth_id, 'NA'), 'Depth_' || line) AS source FROM v_depth_raw WHERE svtype IS NULL OR lower(svtype) LIKE '%del%'),
+fp AS (SELECT did AS source, sample, chrom AS shown, CASE WHEN chrom LIKE 'chr%' THEN chrom ELSE 'chr' || chrom END AS chrom, least(start2, end2) AS start2, greatest(start2, end2) AS end2, nullif(discordant_reads, 'NA') AS reads, nullif(median_insert, 'NA') AS ins
+  FROM v_disc_raw WHERE status IS NULL OR NOT regexp_matches(lower(status), 'discard|fail|low')),
+od AS (SELECT DISTINCT us.id, start2, end2, shown, source, shown || ':' || start2 || '-' || end2 AS place FROM us JOIN fd ON us.sample = fd.sample AND us.chrom = fd.chrom AND us.start <= end2 AND us."end" >= start2),
+oh AS (SELECT us.id, start2, end2, shown, source, reads, ins, shown || ':' || start2 || '-' || end2 AS place FROM us JOIN fp ON us.sample = fp.sample AND us.chrom = fp.chrom AND us.start <= end2 AND us."end" >= start2
+  WHERE (least(us."end", end2) - greatest(us.start, start2) + 1)::DOUBLE / (us."end" - us.start + 1) >= 0.9),
+nh AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY start2, end2, shown, source, ins) AS rn FROM oh),
+td AS (SELECT id, string_agg('Depth:' || source || ':' || place, ',' ORDER BY start2, end2, shown, source) AS labels FROM od GROUP BY 1),
+tr AS (SELECT id, string_agg(place, ',' ORDER BY start2, end2, shown) AS ranges FROM (SELECT DISTINCT id, start2, end2, shown, place FROM od) GROUP BY 1),
+hr AS (SELECT id, string_agg(v, ',' ORDER BY rn) AS ranges FROM (SELECT id, place AS v, min(rn) AS rn FROM nh GROUP BY 1, 2) GROUP BY 1),
+hl AS (SELECT id, string_agg(v, ',' ORDER BY rn) AS labels FROM (SELECT id, 'Discordant:' || source || ':' || place AS v, min(rn) AS rn FROM nh GROUP BY 1, 2) GROUP BY 1),
+hc AS (SELECT id, string_agg(v, ',' ORDER BY rn) AS ids FROM (SELECT id, source AS v, min(rn) AS rn FROM nh GROUP BY 1, 2) GROUP BY 1),
+hi AS (SELECT id, string_agg(v, ',' ORDER BY rn) AS inserts FROM (SELECT id, ins AS v, min(rn) AS rn FROM nh WHERE ins IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
+hs AS (SELECT id, sum(v) AS n_reads FROM (SELECT id, source, arg_min(try_cast(reads AS DOUBLE), reads) AS v FROM oh GROUP BY 1, 2) GROUP BY 1),
+mt32 AS (SELECT sample AS "SampleID", nullif(gene, 'NA') AS "Gene", chrom AS "Chrom", id AS "Cluster_ID", start AS "Split_Start", "end" AS "Split_End", size AS "Split_Size", support_reads AS "Split_Reads", support_records AS "Split_Records",
+  CASE WHEN depth_support THEN 'Yes' ELSE 'No' END AS "Depth_Support", depth_bases AS "Depth_Covered_Bases", printf('%.4f', depth_fraction) AS "Depth_Coverage_Fraction", depth_records AS "Depth_Record_Count", tr.ranges AS "Depth_Range",
+  CASE WHEN disc_support THEN 'Yes' ELSE 'No' END AS "Discordant_Read_Support", disc_bases AS "Discordant_Overlap_Bases", printf('%.4f', disc_fraction) AS "Discordant_Overlap_Fraction", disc_records AS "Discordant_Record_Count",
+  hr.ranges AS "Discordant_Range", hc.ids AS "Discordant_Cluster_IDs", n_reads AS "Discordant_Reads", inserts AS "Median_Insert_Size", evidence_count AS "Evidence_Count", evidence_level AS "Evidence_Level", evidence_types AS "Evidence_Types",
+  start AS "Best_Start", "end" AS "Best_End", size AS "Best_Size", 'Split' AS "Best_Evidence", candidate_status AS "Candidate_Status",
+  concat_ws(',', 'Split:' || id || ':' || chrom || ':' || start || '-' || "end", td.labels, hl.labels) AS "Source_Records", comment AS "Comment"
+  FROM mg JOIN gd USING (id) LEFT JOIN td USING (id) LEFT JOIN tr USING (id) LEFT JOIN hr USING (id) LEFT JOIN hl USING (id) LEFT JOIN hc USING (id) LEFT JOIN hi USING (id) LEFT JOIN hs USING (id))"""
+
+
+@query(f"WITH {TABLE} SELECT * FROM mt32")
+def merged_candidates(s, d):
+    return candidates.merged_table(view(s, d, "v_split_given"), view(s, d, "v_depth_raw"), view(s, d, "v_disc_raw"))
+
+
 @query(f"WITH {MERGE} SELECT evidence_level, count(*) AS n FROM mg GROUP BY 1")
 def level_counts(s, d):
     return merge_evidence(s, d).groupBy("evidence_level").agg(F.count("*").alias("n"))
@@ -401,6 +431,22 @@ def annotate(s, d):
     return E.annotate(merge_evidence(s, d), _exons(s, d))
 
 
+#: Exons of one of the five chromosomes are left out, so that it has no annotation.
+FOUR_CHROMS = "ex4 AS (SELECT * FROM v_exons WHERE chrom <> 'chr5')"
+
+
+@query(f"""WITH {FOUR_CHROMS}, {TABLE}, {HITS.replace("v_split", "us").replace("v_exons", "ex4")}
+SELECT "SampleID", mt32."Gene", "Chrom", "Best_Start" AS "Start", "Best_End" AS "End", "Chrom" || ':' || "Best_Start" || '-' || "Best_End" AS "Candidate_Region", "Best_Size" AS "Size_bp", 'Best' AS "Coordinate_Source", "Cluster_ID", "Split_Start", "Split_End", "Split_Size",
+  'Yes' AS "Split_Read_Support", "Split_Reads" AS "Split_Read_Count", "Split_Records" AS "Split_Record_Count", "Depth_Support", "Depth_Covered_Bases", "Depth_Coverage_Fraction", "Depth_Record_Count", "Depth_Range", "Discordant_Read_Support", "Discordant_Overlap_Bases",
+  "Discordant_Overlap_Fraction", "Discordant_Record_Count", "Discordant_Range", "Discordant_Cluster_IDs", "Discordant_Reads", "Median_Insert_Size", "Evidence_Level", "Evidence_Types", "Evidence_Count", "Best_Evidence", "Candidate_Status", "Source_Records", "Comment",
+  tg.gene AS "Annotated_Gene", tt.transcript AS "Annotated_Transcript", exons AS "Affected_Exons", coalesce(n_exons, 0)::INT AS "Overlap_Exon_Count", full_exons AS "Fully_Covered_Exons", partial_exons AS "Partially_Overlapped_Exons",
+  CASE WHEN n_exons > 0 THEN 'Annotated' ELSE 'Not_annotated' END AS "Annotation_Status", CASE WHEN n_exons > 0 THEN exon_detail WHEN "Chrom" IN (SELECT chrom FROM ex4) THEN 'No exon overlapped' ELSE 'No exon annotation on chromosome ' || "Chrom" END AS "Exon_Overlap_Detail"
+FROM mt32 LEFT JOIN ls ON ls.id = "Cluster_ID" LEFT JOIN tg ON tg.id = "Cluster_ID" LEFT JOIN tt ON tt.id = "Cluster_ID"
+""")
+def annotated_candidates(s, d):
+    return candidates.annotated_table(merged_candidates(s, d), _exons(s, d).filter("chrom <> 'chr5'"))
+
+
 @query(f"WITH {HITS} SELECT id, gene FROM tg")
 def affected_gene_mode(s, d):
     return E.annotate(view(s, d, "v_split"), _exons(s, d)).filter("gene is not null").select("id", "gene")

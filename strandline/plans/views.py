@@ -54,12 +54,17 @@ SELECT 'SR' || cast(o_orderkey AS STRING) AS id, CASE WHEN o_custkey % 2 = 0 THE
 FROM (SELECT *, (o_orderkey * 131 + o_custkey * 17) % 200000 + 1 AS s, (o_orderkey * 131 + o_custkey * 17) % 200000 + 1 + o_custkey * 7 % 400 AS e FROM orders) x""",
     "v_depth_raw": """
 SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'S1' ELSE 'S2' END AS sample, CASE WHEN l_orderkey % 3 = 0 THEN 'chr' ELSE '' END || cast(l_partkey % 5 + 1 AS STRING) AS chrom, CASE WHEN l_linenumber = 3 THEN e ELSE s END AS start2,
-  CASE WHEN l_linenumber = 3 THEN s ELSE e END AS end2, CASE l_orderkey % 6 WHEN 0 THEN 'DUP' WHEN 1 THEN NULL WHEN 2 THEN '<DEL>' ELSE 'del' END AS svtype
+  CASE WHEN l_linenumber = 3 THEN s ELSE e END AS end2, CASE l_orderkey % 6 WHEN 0 THEN 'DUP' WHEN 1 THEN NULL WHEN 2 THEN '<DEL>' ELSE 'del' END AS svtype,
+  CASE WHEN l_orderkey % 5 = 0 THEN 'NA' ELSE 'DP' || cast(l_orderkey AS STRING) || '_' || cast(l_linenumber AS STRING) END AS depth_id, l_orderkey * 8 + l_linenumber AS line
 FROM (SELECT *, (l_orderkey * 53 + l_partkey * 29) % 200000 + 1 AS s, (l_orderkey * 53 + l_partkey * 29) % 200000 + 1 + l_suppkey * 11 % 160 AS e FROM lineitem) x""",
     "v_disc_raw": """
 SELECT 'DR' || cast(l_orderkey AS STRING) || '_' || cast(l_linenumber AS STRING) AS did, CASE WHEN l_suppkey % 2 = 0 THEN 'S1' ELSE 'S2' END AS sample, CASE WHEN l_orderkey % 3 = 1 THEN 'chr' ELSE '' END || cast(l_partkey % 5 + 1 AS STRING) AS chrom,
-  CASE WHEN l_linenumber = 2 THEN e ELSE s END AS start2, CASE WHEN l_linenumber = 2 THEN s ELSE e END AS end2, CASE l_orderkey % 8 WHEN 0 THEN 'Discarded' WHEN 1 THEN 'LowSupport' WHEN 2 THEN 'failed' WHEN 3 THEN NULL ELSE 'Pass' END AS status
+  CASE WHEN l_linenumber = 2 THEN e ELSE s END AS start2, CASE WHEN l_linenumber = 2 THEN s ELSE e END AS end2, CASE l_orderkey % 8 WHEN 0 THEN 'Discarded' WHEN 1 THEN 'LowSupport' WHEN 2 THEN 'failed' WHEN 3 THEN NULL ELSE 'Pass' END AS status,
+  CASE l_orderkey % 5 WHEN 0 THEN 'NA' WHEN 1 THEN NULL WHEN 2 THEN 'many' ELSE cast(l_linenumber + 3 AS STRING) END AS discordant_reads, CASE WHEN l_partkey % 4 = 0 THEN 'NA' ELSE cast(l_partkey % 900 + 100 AS STRING) || '.00' END AS median_insert
 FROM (SELECT *, (l_orderkey * 67 + l_partkey * 31) % 200000 + 1 AS s, (l_orderkey * 67 + l_partkey * 31) % 200000 + 1 + l_suppkey * 13 % 500 AS e FROM lineitem) x""",
+    "v_split_given": """
+SELECT *, CASE WHEN k % 3 = 0 THEN 'NA' ELSE 'G' || cast(k % 97 AS STRING) END AS gene, cast(3 + k % 11 AS BIGINT) AS support_reads, cast(3 + k % 11 + k % 4 AS BIGINT) AS support_records
+FROM (SELECT *, cast(substr(id, 3) AS BIGINT) AS k FROM v_split_raw) x""",
     "v_mane": "SELECT 'NM_' || cast(CASE WHEN p_partkey % 3 > 0 THEN p_partkey ELSE -p_partkey END AS STRING) AS transcript, 'G' || cast(p_partkey % 97 AS STRING) AS mane_gene FROM part",
     "v_mane_lines": """
 SELECT 'NM_' || cast(CASE WHEN p_partkey % 3 > 0 THEN p_partkey ELSE -p_partkey END AS STRING) || '.2' AS transcript, CASE WHEN p_partkey % 97 = 10 THEN 'H' ELSE 'G' END || cast(p_partkey % 97 AS STRING) AS mane_gene, cast(p_partkey AS BIGINT) AS line FROM part""",
