@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.quantiles import exact_quantiles
 from strandline.functions.genome import cigar_ref_length, has_flag, int_median, mask, pair_orientation, range_text, strand
 
 BAD = mask("unmapped", "secondary", "qc_fail", "supplementary")
@@ -164,10 +165,12 @@ def tlen_sample(tlen: DataFrame, most: int, seed: int = 20260701) -> DataFrame:
 
 def tlen_stats(tlen: DataFrame, n_mad: int = 3) -> DataFrame:
     """Count, moments, exact quantiles and the robust threshold median + n * 1.4826 * MAD, by sample."""
-    mid = tlen.groupBy("sample").agg(F.median("tlen").alias("median"))
-    rows = tlen.join(mid, "sample")
-    q = lambda p: F.percentile("tlen", F.lit(p))
-    out = rows.groupBy("sample").agg(F.count("*").alias("n"), F.avg("tlen").alias("mean"), F.stddev_samp("tlen").alias("sd"), F.first("median").alias("median"), F.median(F.abs(F.col("tlen") - F.col("median"))).alias("mad"), q(0.25).alias("q1"), q(0.75).alias("q3"), q(0.95).alias("p95"), q(0.99).alias("p99"), q(0.995).alias("p995"))
+    counts = tlen.groupBy("sample", "tlen").agg(F.count("*").alias("c"))
+    q = exact_quantiles(counts, ["sample"], "tlen", {"q1": 0.25, "median": 0.5, "q3": 0.75, "p95": 0.95, "p99": 0.99, "p995": 0.995}, "c")
+    twice = F.abs(2 * F.col("tlen") - (2 * F.col("median")).cast("long")).alias("dev")  # a median of whole numbers is a whole number of halves
+    mad = exact_quantiles(counts.join(q.select("sample", "median"), "sample").select("sample", twice, "c"), ["sample"], "dev", {"mad": 0.5}, "c").select("sample", (F.col("mad") / 2).alias("mad"))
+    moments = tlen.groupBy("sample").agg(F.avg("tlen").alias("mean"), F.stddev_samp("tlen").alias("sd"))
+    out = moments.join(q, "sample").join(mad, "sample").select("sample", "n", "mean", "sd", "median", "mad", "q1", "q3", "p95", "p99", "p995")
     return out.withColumn("threshold", F.col("median") + n_mad * 1.4826 * F.col("mad"))
 
 

@@ -11,6 +11,7 @@ from strandline.operators import depth as D
 from strandline.operators import evidence as E
 from strandline.operators import candidates, folds, intervals, regions, reports, simulate
 from strandline.operators import reads as R
+from strandline.operators.quantiles import exact_quantiles
 from strandline.functions import genome as G
 from strandline.plans.views import view, with_views
 from strandline.sources import bam
@@ -321,6 +322,16 @@ def tlen_stats(s, d):
     return R.tlen_stats(R.valid_tlen(view(s, d, "v_reads")))
 
 
+QUANTILES = {"least": 0.0, "p01": 0.01, "q1": 0.25, "mid": 0.5, "q3": 0.75, "p99": 0.99, "most": 1.0}
+
+
+@query(f"""SELECT l_partkey % 1000 AS part_group, l_returnflag AS flag, count(*) AS n, {", ".join(f"round(quantile_cont(l_extendedprice, {f}), 4) AS {n}" for n, f in QUANTILES.items())} FROM lineitem GROUP BY 1, 2""")
+def price_quantiles(s, d):
+    rows = s.read.parquet(f"{d}/lineitem.parquet").select((F.col("l_partkey") % 1000).alias("part_group"), F.col("l_returnflag").alias("flag"), "l_extendedprice")
+    found = exact_quantiles(rows, ["part_group", "flag"], "l_extendedprice", QUANTILES)
+    return found.withColumns({c: F.round(c, 4) for c in QUANTILES})  # cents, interpolated in hundredths
+
+
 @query(f"WITH {TLEN} SELECT * FROM t ORDER BY md5(concat_ws('|', sample, qname, tlen, '20260701')), sample, qname, tlen LIMIT 1000")
 def tlen_sample(s, d):
     return R.tlen_sample(R.valid_tlen(view(s, d, "v_reads")), 1000)

@@ -99,6 +99,8 @@ def with_views(sql: str) -> str:
     visit(sql)
     heads = ", ".join(f"{n} AS ({VIEWS[n].replace('% 12 / 12', '% 12 // 12').replace(chr(92) + chr(34), chr(34))})" for n in needed)
     body = sql.strip()
+    if not needed:
+        return body
     if body.startswith("WITH RECURSIVE "):
         return f"WITH RECURSIVE {heads}, {body[15:]}"
     return f"WITH {heads}, {body[5:]}" if body.startswith("WITH ") else f"WITH {heads} {body}"
