@@ -14,7 +14,7 @@ from strandline.operators import reads as R
 from strandline.operators.quantiles import exact_quantiles
 from strandline.functions import genome as G
 from strandline.plans.views import view, with_views
-from strandline.sources import bam
+from strandline.sources import bam, listing, tee
 from strandline.sources.written import shared_folder
 
 QUERIES, SQL = {}, {}
@@ -292,6 +292,23 @@ def split_failed(s, d):
     return split_clusters(s, d).filter("status <> 'Pass'")
 
 
+@query(f"WITH RECURSIVE {SPLIT_CLUSTERS} SELECT kind, count(su.status) AS n, coalesce(sum(support_reads), 0)::BIGINT AS support_reads FROM (SELECT unnest(['All', 'Pass', 'Failed']) AS kind) LEFT JOIN su ON kind = 'All' OR (kind = 'Pass') = (su.status = 'Pass') GROUP BY 1")
+def split_tee(s, d):
+    """Clusters written once by status; each table is read back from its part."""
+    clusters, folder = split_clusters(s, d), f"{shared_folder(s)}/clusters-{uuid.uuid4().hex}"
+    tee.write_tee(clusters, folder)
+    kinds = [tee.read_tee(s, folder, clusters.schema, k).agg(F.lit(k).alias("kind"), F.count("*").alias("n"), F.coalesce(F.sum("support_reads"), F.lit(0)).alias("support_reads")) for k in (tee.ALL, tee.PASS, tee.FAILED)]
+    return kinds[0].union(kinds[1]).union(kinds[2])
+
+
+@query("""WITH n AS (SELECT path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, regexp_extract(path, '[^/]*$') AS name FROM v_files),
+m AS (SELECT *, regexp_matches(name, '\\.(fastq|fq)(\\.gz)?$', 'i') AS fq, regexp_matches(name, '(^|[._-])R?1([._-]|$)', 'i') AS one, regexp_matches(name, '(^|[._-])R?2([._-]|$)', 'i') AS two FROM n),
+g AS (SELECT folder, count(*) FILTER (fq AND one) AS n_r1, count(*) FILTER (fq AND NOT one AND two) AS n_r2, min(path) FILTER (fq AND one) AS a, min(path) FILTER (fq AND NOT one AND two) AS b FROM m GROUP BY 1)
+SELECT folder, n_r1, n_r2, CASE WHEN n_r1 = 1 AND n_r2 = 1 THEN a END AS r1, CASE WHEN n_r1 = 1 AND n_r2 = 1 THEN b END AS r2, CASE WHEN n_r1 = 1 AND n_r2 = 1 THEN 'Paired' WHEN n_r1 > 1 OR n_r2 > 1 THEN 'Multiple' ELSE 'Missing' END AS found FROM g""")
+def fastq_pairs(s, d):
+    return listing.fastq_pairs(listing.with_names(view(s, d, "v_files")))
+
+
 PAIRS = f"""v AS (SELECT * FROM v_reads WHERE flag & 1 = 1 AND flag & 3852 = 0 AND mapq >= 20 AND rnext = '=' AND tlen >= 500 AND flag & 16 = 0 AND flag & 32 <> 0),
 pr AS (SELECT sample, qname, chrom, tlen, 'FR' AS orientation, pos + {LENGTH} AS sv_start, pnext - 1 AS sv_end FROM v)"""
 

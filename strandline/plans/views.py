@@ -65,6 +65,10 @@ FROM (SELECT *, (l_orderkey * 67 + l_partkey * 31) % 200000 + 1 AS s, (l_orderke
     "v_split_given": """
 SELECT *, CASE WHEN k % 3 = 0 THEN 'NA' ELSE 'G' || cast(k % 97 AS STRING) END AS gene, cast(3 + k % 11 AS BIGINT) AS support_reads, cast(3 + k % 11 + k % 4 AS BIGINT) AS support_records
 FROM (SELECT *, cast(substr(id, 3) AS BIGINT) AS k FROM v_split_raw) x""",
+    "v_files": """
+SELECT 'runs/C' || cast(o_custkey AS STRING) || '_' || cast(o_orderkey % 7 AS STRING) || '/' || (CASE o_orderkey % 11 WHEN 0 THEN 'lane' || cast(o_orderkey AS STRING) || '_R1.fastq.gz' WHEN 1 THEN 'lane' || cast(o_orderkey AS STRING) || '.2.fq'
+  WHEN 2 THEN cast(o_orderkey AS STRING) || '-1.FASTQ' WHEN 3 THEN 'x' || cast(o_orderkey AS STRING) || '_r2_y.fastq' WHEN 4 THEN 'notes' || cast(o_orderkey AS STRING) || '_1.txt' WHEN 5 THEN 'S1' || cast(o_orderkey AS STRING) || '.fastq'
+  WHEN 6 THEN '1_2.' || cast(o_orderkey AS STRING) || '.fq' WHEN 7 THEN 'R2.' || cast(o_orderkey AS STRING) || '.fq.GZ' ELSE 'R1.' || cast(o_orderkey AS STRING) || '.fq' END) AS path FROM orders""",
     "v_mane": "SELECT 'NM_' || cast(CASE WHEN p_partkey % 3 > 0 THEN p_partkey ELSE -p_partkey END AS STRING) AS transcript, 'G' || cast(p_partkey % 97 AS STRING) AS mane_gene FROM part",
     "v_mane_lines": """
 SELECT 'NM_' || cast(CASE WHEN p_partkey % 3 > 0 THEN p_partkey ELSE -p_partkey END AS STRING) || '.2' AS transcript, CASE WHEN p_partkey % 97 = 10 THEN 'H' ELSE 'G' END || cast(p_partkey % 97 AS STRING) AS mane_gene, cast(p_partkey AS BIGINT) AS line FROM part""",
