@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import depth as D
 from strandline.operators import evidence as E
-from strandline.operators import candidates, folds, intervals, regions, reports, simulate
+from strandline.operators import candidates, depth_tables, folds, intervals, regions, reports, simulate
 from strandline.operators import reads as R
 from strandline.operators.quantiles import exact_quantiles
 from strandline.functions import genome as G
@@ -164,6 +164,43 @@ def window_candidates(s, d):
     return D.window_candidates(window_ratio(s, d), 2)
 
 
+NAMED = """'S1' AS "SampleID", gene AS "Gene", class AS "Classification", transcript AS "Transcript\""""
+WINDOWED = f"""{RATIO}, gi AS (SELECT * FROM v_depth_gene_info),
+rt AS (SELECT {NAMED}, gene || '_W' || number AS "Window_ID", chrom AS "Chrom", w_start AS "Start", w_end AS "End", w_end - w_start + 1 AS "Length", gi.start AS "Gene_Start", gi."end" AS "Gene_End", printf('%.4f', gene_mean) AS "Gene_Mean_Depth",
+  printf('%.4f', window_mean) AS "Window_Mean_Depth", CASE WHEN ratio IS NOT NULL THEN printf('%.4f', ratio) END AS "Depth_Ratio", CASE WHEN status = 'Del_window' THEN 'Yes' ELSE 'No' END AS "Is_Del_Window", status AS "Window_Status",
+  CASE status WHEN 'Low_gene_depth' THEN 'Gene mean depth is lower than MIN_GENE_MEAN_DEPTH; window is not evaluated as deletion' WHEN 'NA' THEN 'Depth ratio cannot be calculated' WHEN 'Del_window' THEN 'Depth ratio <= DEL_DEPTH_RATIO_CUTOFF' ELSE 'Depth ratio > DEL_DEPTH_RATIO_CUTOFF' END AS "Comment"
+  FROM st JOIN gi USING (gene))"""
+
+
+@query(f"""WITH {WINDOWED}, gq AS (SELECT g.gene, coalesce(sum(depth), 0)::DOUBLE / (g."end" - g.start + 1) AS gene_mean FROM v_depth_genes g LEFT JOIN v_depth d ON d.gene = g.gene AND d.pos BETWEEN g.start AND g."end" GROUP BY g.gene, g.start, g."end")
+SELECT {NAMED}, chrom AS "Chrom", start AS "Start", "end" AS "End", strand AS "Strand", exon_count AS "ExonCount", concat_ws('|', gene, transcript, chrom, start, "end") AS "Gene_Key", "end" - start + 1 AS "Gene_Length", printf('%.4f', gq.gene_mean) AS "Gene_Mean_Depth",
+  (SELECT count(*) FROM st WHERE st.gene = gi.gene) AS "Window_Count" FROM gi JOIN gq USING (gene)""")
+def gene_depth_table(s, d):
+    means = D.gene_mean_depth(view(s, d, "v_depth"), view(s, d, "v_depth_genes"))
+    windows = D.sliding_windows(view(s, d, "v_depth_genes"), WINDOW, STEP, LEAST)
+    return depth_tables.gene_table(means, windows, view(s, d, "v_depth_gene_info"), "S1")
+
+
+@query(f"WITH {WINDOWED} SELECT * FROM rt")
+def window_ratio_table(s, d):
+    return depth_tables.ratio_table(window_ratio(s, d), view(s, d, "v_depth_gene_info"), "S1")
+
+
+@query(f"""WITH {WINDOWED} SELECT * EXCLUDE ("Gene_Mean_Depth", "Depth_Ratio", "Is_Del_Window", "Window_Status", "Comment") FROM rt""")
+def window_depth_table(s, d):
+    return depth_tables.window_table(window_ratio(s, d), view(s, d, "v_depth_gene_info"), "S1")
+
+
+@query(f"""WITH {WINDOWED}, n AS (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY w_start) AS place FROM st),
+q AS (SELECT *, place - row_number() OVER (PARTITION BY gene ORDER BY w_start) AS run FROM n WHERE status = 'Del_window'),
+c AS (SELECT gene, min(w_start) AS s1, max(w_end) AS e1, count(*) AS n_windows, any_value(gene_mean) AS gene_mean, sum(window_mean * (w_end - w_start + 1)) / sum(w_end - w_start + 1) AS mean_depth, avg(ratio) AS mean_ratio, min(ratio) AS lo, max(ratio) AS hi,
+  string_agg(gene || '_W' || number, ',' ORDER BY number) AS ids FROM q GROUP BY gene, run HAVING count(*) >= 2)
+SELECT {NAMED}, chrom AS "Chrom", s1 AS "Start", e1 AS "End", e1 - s1 + 1 AS "Candidate_Length", n_windows AS "Window_Count", printf('%.4f', gene_mean) AS "Gene_Mean_Depth", printf('%.4f', mean_depth) AS "Candidate_Mean_Depth", printf('%.4f', mean_ratio) AS "Mean_Depth_Ratio",
+  printf('%.4f', lo) AS "Min_Depth_Ratio", printf('%.4f', hi) AS "Max_Depth_Ratio", 'Depth_candidate' AS "Candidate_Status", ids AS "Del_Window_IDs", 'Merged consecutive deletion-supporting windows' AS "Comment" FROM c JOIN gi USING (gene)""")
+def depth_candidate_table(s, d):
+    return depth_tables.candidate_table(window_ratio(s, d), view(s, d, "v_depth_gene_info"), "S1", 2)
+
+
 BINS = "bins AS (SELECT gene, ((pos - 1) // 2) * 2 + 1 AS start, max(pos) AS \"end\", avg(depth) AS depth, count(*) AS n_pos FROM v_depth GROUP BY 1, 2)"
 
 

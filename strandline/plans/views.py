@@ -27,6 +27,9 @@ FROM (SELECT *, l_orderkey * 8 + l_linenumber AS k, (l_partkey * 37 + l_orderkey
 SELECT 'g' || cast(user_id AS STRING) AS gene, cast(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS pos, cast(floor(value) AS BIGINT) AS depth
 FROM events WHERE value IS NOT NULL AND user_id IS NOT NULL""",
     "v_depth_genes": "SELECT gene, cast(1 AS BIGINT) AS start, max(pos) + cast(3 AS BIGINT) AS \"end\" FROM v_depth GROUP BY gene",
+    "v_depth_gene_info": """
+SELECT gene, start, "end", CASE k % 4 WHEN 0 THEN 'Definitive' WHEN 1 THEN 'Strong' WHEN 2 THEN 'NA' ELSE 'Limited' END AS class, 'NM_' || cast(k AS STRING) || '.1' AS transcript, 'chr' || cast(k % 5 + 1 AS STRING) AS chrom, CASE WHEN k % 2 = 0 THEN '+' ELSE '-' END AS strand, k % 20 + 1 AS exon_count
+FROM (SELECT *, cast(substr(gene, 2) AS BIGINT) AS k FROM v_depth_genes) x""",
     "v_genes": """
 SELECT 'G' || cast(p_partkey % 97 AS STRING) AS gene, 'NM_' || cast(p_partkey AS STRING) || '.1' AS transcript, 'chr' || cast(p_partkey % 97 % 5 + 1 AS STRING) AS chrom,
   p_partkey % 97 * 211 + p_partkey % 13 * 10 + 1 AS start, p_partkey % 97 * 211 + p_partkey % 13 * 10 + 100 + p_size * 3 AS \"end\", CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM part""",
