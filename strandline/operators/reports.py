@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.genome import chrom_rank, fixed, range_text, strip_version
+from strandline.functions.genome import chrom_rank, fixed_exact, range_text, strip_version
 
 
 def exon_rank(exon: Column) -> Column:
@@ -69,7 +69,7 @@ def window_labels(ratios: DataFrame, normal: str = "Normal_window", most: int =
     counts = ratios.groupBy("gene").agg(F.count("*").alias("n_windows"), F.count_if(F.col("status") != normal).alias("n_labels"))
     at = F.row_number().over(Window.partitionBy("gene").orderBy(*WINDOW_ORDER))
     first = ratios.filter(F.col("status") != normal).withColumn("_at", at).filter(F.col("_at") <= most)
-    line = F.concat("window_id", F.lit(": "), F.coalesce(fixed(F.col("ratio"), 3), F.lit("nan")))
+    line = F.concat("window_id", F.lit(": "), F.coalesce(fixed_exact(F.col("ratio"), 3), F.lit("nan")))
     listed = first.groupBy("gene").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", line.alias("line")))), lambda x: x["line"]).alias("_lines"))
     more = F.when(F.col("n_labels") > most, F.array(F.concat(F.lit("... +"), (F.col("n_labels") - most).cast("string"), F.lit(" more")))).otherwise(F.array().cast("array<string>"))
     text = F.array_join(F.concat(F.array(F.lit("Non-normal windows")), F.col("_lines"), more), "\n")
