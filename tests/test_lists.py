@@ -3,7 +3,7 @@
 import random
 
 from strandline.operators import evidence
-from strandline.operators.intervals import best_overlaps
+from strandline.operators.intervals import best_overlaps, to_windows
 
 
 def intervals(rng, n, lengths):
@@ -47,3 +47,10 @@ def test_rows_with_lists_are_not_shuffled(spark):
     pairs = spark.createDataFrame([("d", "a", "1", 1, 9)], "did string, sample string, chrom string, start2 long, end2 long")
     plan = evidence.merge_evidence(split, pairs.drop("did"), pairs)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("MapInArrow") < plan.index("Exchange")  # nothing is exchanged after the lists are made
+
+
+def test_evidence_is_dealt_to_few_windows(spark):
+    split = spark.range(2000).selectExpr("'a' AS sample", "'chr1' AS _chrom", "id * 10 AS start", "id * 10 + id % 400 AS end")
+    pairs = spark.range(2000).selectExpr("'a' AS sample", "'chr1' AS _chrom", "id * 10 AS start2", "id * 10 + id % 500 AS end2")
+    _, dealt = to_windows(split, evidence.PLACE, evidence.list_width(split, pairs), {"x": pairs})
+    assert dealt["x"].count() < 2 * 2000
