@@ -145,3 +145,28 @@ def test_edges(spark, tmp_path):
     assert rows(bam.read_bam(spark, long, split_bytes=300)) == want and rows(bam.read_bam(spark, long, [("chr1", 6, 6)], sample="T")) == [("T", *want[1][1:])]
     with pytest.raises(Exception, match="not in the header: chr8"):
         bam.write_bam(spark.createDataFrame([("S", "q", 0, "chr8", 5, 0, "5M", "*", 0, 0, None)], TYPES), str(tmp_path / "bad.bam"), REFS)
+
+
+def test_reads_cost_no_python_call_each(folder, tmp_path, monkeypatch):
+    import sys
+    import types
+
+    import pyarrow as pa
+
+    def calls(run):
+        seen = []
+        sys.setprofile(lambda frame, event, arg: seen.append(1) if event == "call" else None)
+        try:
+            run()
+        finally:
+            sys.setprofile(None)
+        return len(seen)
+
+    path, reads = folder
+    reader = bam.BamReader({"path": path})
+    found = []
+    assert calls(lambda: found.extend(b for s in reader.partitions() for b in reader.read(s))) < len(reads)
+    assert sum(b.num_rows for b in found) == len(reads)
+    monkeypatch.setattr(bam, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    writer = bam.BamWriter({"path": str(tmp_path / "w.bam"), "refs": json.dumps(REFS)})
+    assert calls(lambda: writer.write(iter(found))) < len(reads)
