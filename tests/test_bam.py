@@ -170,3 +170,16 @@ def test_reads_cost_no_python_call_each(folder, tmp_path, monkeypatch):
     monkeypatch.setattr(bam, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
     writer = bam.BamWriter({"path": str(tmp_path / "w.bam"), "refs": json.dumps(REFS)})
     assert calls(lambda: writer.write(iter(found))) < len(reads)
+
+
+def test_region_lookups_cost_no_python_call_each(folder):
+    import sys
+
+    path, reads = folder
+    reader, seen = bam.BamReader({"path": path, "regions": json.dumps([("chr1", 1, 3_000_000)])}), []
+    sys.setprofile(lambda frame, event, arg: seen.append(1) if event == "call" else None)
+    try:
+        found = [b.num_rows for s in reader.partitions() for b in reader.read(s)]
+    finally:
+        sys.setprofile(None)
+    assert sum(found) == len(over(reads, [("chr1", 1, 3_000_000)])) and len(seen) < sum(found)
