@@ -41,6 +41,8 @@ BREAK = re.compile(r"(?<=\S)(?= )")
 ODD = r"[\s\v\x1c-\x1f\x85\p{Z}] "
 #: Chunks a worker keeps, at about 160 bytes each.
 MEMO_SIZE = 800_000
+#: Characters of texts encoded at once.
+PART_CHARS = 4 << 20
 #: Chunks encoded as one text: a call for each would cost as much as the merges.
 JOINED = 4000
 
@@ -128,13 +130,13 @@ def by_size(batch: pd.DataFrame, limit: int) -> Iterator[pd.DataFrame]:
             yield rows
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 0, memo_size: int = MEMO_SIZE) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 0, memo_size: int = MEMO_SIZE, part_chars: int = PART_CHARS) -> DataFrame:
     """docs (doc_id, text) -> doc_id, piece, start, length, ids_crc32; only the first piece may be shorter."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for part in by_size(batch, 4 << 20):
+            for part in by_size(batch, part_chars):
                 rows = []
                 for doc_id, ids in zip(part["doc_id"], encoder(tokenizer, memo_size).encode(part["text"].tolist()), strict=True):
                     ids += end
@@ -287,9 +289,9 @@ def rank_in_length(pieces: DataFrame, n: int) -> DataFrame:
     return rows.join(starts, ["length", "range"]).withColumn("rank", F.col("before") + F.col("at")).drop("hash", "range", "at", "before")
 
 
-def pack(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 0, unit: int = 8, depth: int = 3, memo_size: int = MEMO_SIZE) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, piece, start, length, ids_crc32, sequence_id, offset. memo_size trades memory for speed only."""
-    pieces = stash(token_pieces(docs, tokenizer, max_tokens, end_id, memo_size), "pieces")
+def pack(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 0, unit: int = 8, depth: int = 3, memo_size: int = MEMO_SIZE, part_chars: int = PART_CHARS) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, piece, start, length, ids_crc32, sequence_id, offset. memo_size and part_chars trade memory for speed only."""
+    pieces = stash(token_pieces(docs, tokenizer, max_tokens, end_id, memo_size, part_chars), "pieces")
     counts = np.zeros(max_tokens + 1, np.int64)
     for row in pieces.groupBy("length").count().collect():  # at most max_tokens rows
         counts[row["length"]] = row["count"]
