@@ -39,6 +39,8 @@ from strandline.llm.common import stash
 BREAK = re.compile(r"(?<=\S)(?= )")
 #: A blank or control character before a space (RE2): such texts are cut by BREAK, all others at each space.
 ODD = r"[\s\v\x1c-\x1f\x85\p{Z}] "
+#: A chunk that is empty or ends in a blank.
+BLANK_END = r"(^|[\s\v\x1c-\x1f\x85\p{Z}])\z"
 #: Chunks a worker keeps, at about 160 bytes each.
 MEMO_SIZE = 800_000
 #: Characters of texts encoded at once.
@@ -76,17 +78,23 @@ class Encoder:
                 x.byteswap()
         return [x.tobytes() for x in found]
 
-    def learn(self, rests: list[str]) -> None:
-        """Puts the ids of " " + x into the memo. Those that end in a blank, which could join the next space, are encoded apart."""
-        apart = [x for x in rests if not x or x[-1].isspace()]
-        self.memo.update(zip(apart, self.whole([" " + x for x in apart]), strict=True))
-        rests = [x for x in rests if x and not x[-1].isspace()]
-        for at in range(0, len(rests), JOINED):
-            part = rests[at : at + JOINED]
-            ids = self.whole([" " + " ".join(part)])[0]
-            ends = np.cumsum(np.fromiter((len(x.encode()) + 1 for x in part), np.int64, len(part)))
-            stops = (4 * np.searchsorted(np.cumsum(self.n_bytes[np.frombuffer(ids, "<u4")]), ends) + 4).tolist()
-            self.memo.update(zip(part, [ids[i:j] for i, j in zip([0, *stops], stops, strict=False)], strict=True))
+    def learn(self, rests: pa.Array) -> list[bytes]:
+        """Puts the ids of " " + x into the memo and returns them. Those that end in a blank, which could join the next space, are encoded apart."""
+        names = rests.to_numpy(zero_copy_only=False).tolist()
+        apart = np.asarray(pc.match_substring_regex(rests, BLANK_END))
+        whole, joined = np.flatnonzero(apart).tolist(), np.flatnonzero(~apart)
+        found: list[bytes] = [b""] * len(names)
+        for i, x in zip(whole, self.whole([" " + names[i] for i in whole]), strict=True):
+            found[i] = x
+        sizes, row = np.asarray(pc.binary_length(rests), np.int64) + 1, joined.tolist()
+        for at in range(0, len(row), JOINED):
+            part = row[at : at + JOINED]
+            ids = self.whole([" " + " ".join([names[i] for i in part])])[0]
+            stops = (4 * np.searchsorted(np.cumsum(self.n_bytes[np.frombuffer(ids, "<u4")]), np.cumsum(sizes[part])) + 4).tolist()
+            for i, lo, hi in zip(part, [0, *stops], stops, strict=False):
+                found[i] = ids[lo:hi]
+        self.memo.update(zip(names, found, strict=True))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         own = pa.array(texts, pa.large_string())
@@ -104,11 +112,13 @@ class Encoder:
         flat = lists.flatten()
         first = self.whole(flat.filter(pa.array(heads)).to_pylist())
         chunks = flat.filter(pa.array(~heads)).dictionary_encode()
-        known, number = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
+        known, number = chunks.dictionary, chunks.indices.to_numpy()
         if len(self.memo) > self.memo_size:
             self.memo.clear()
-        self.learn([x for x in known if x not in self.memo])
-        ids = list(map(self.memo.__getitem__, known))
+        ids = list(map(self.memo.get, known.to_numpy(zero_copy_only=False).tolist()))
+        fresh = [i for i, x in enumerate(ids) if x is None]
+        for i, x in zip(fresh, self.learn(known.take(pa.array(fresh, pa.int64()))), strict=True):
+            ids[i] = x
         n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         ids, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(n) - n
         each = n[number]
