@@ -52,6 +52,12 @@ def test_levels_equal_those_of_the_lists(spark):
     assert evidence.evidence_levels(left, depth.limit(0), pairs.limit(0)).filter("depth_bases + disc_bases = 0").count() == 151
 
 
+@pytest.mark.parametrize("name", ["level_counts"])
+def test_counts_of_levels_make_no_lists(spark, name):
+    text = plan(queries.QUERIES[name](spark, SF))
+    assert "depth_range" not in text and "disc_ids" not in text
+
+
 @pytest.mark.parametrize("name", ["depth_support", "discordant_support", "merge_evidence", "merge_given_evidence", "merged_candidates"])
 def test_evidence_is_shuffled_packed_and_once(spark, name):
     text = physical(queries.QUERIES[name](spark, SF))
