@@ -52,7 +52,7 @@ def test_levels_equal_those_of_the_lists(spark):
     assert evidence.evidence_levels(left, depth.limit(0), pairs.limit(0)).filter("depth_bases + disc_bases = 0").count() == 151
 
 
-@pytest.mark.parametrize("name", ["level_counts"])
+@pytest.mark.parametrize("name", ["level_counts", "given_level_counts"])
 def test_counts_of_levels_make_no_lists(spark, name):
     text = plan(queries.QUERIES[name](spark, SF))
     assert "depth_range" not in text and "disc_ids" not in text
