@@ -66,6 +66,13 @@ def test_evidence_is_shuffled_packed_and_once(spark, name):
     assert "SortMergeJoin" not in text  # no join by id, no pairs
 
 
+@pytest.mark.parametrize("name", ["annotate"])
+def test_exons_are_read_with_the_evidence(spark, name):
+    text = physical(queries.QUERIES[name](spark, SF))
+    below = text[text.index("Exchange hashpartitioning") :]
+    assert "exon_detail" not in below and "SortMergeJoin" not in text
+
+
 def test_packed_rows_are_few(spark):
     split = spark.range(40_000).selectExpr("'a' AS sample", "'chr1' AS _chrom", "id % 4000 AS start", "id % 4000 + id % 300 AS end", "id")
     windows, _ = intervals.to_windows(split, evidence.PLACE, 1024, {})
