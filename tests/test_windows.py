@@ -66,7 +66,7 @@ def test_evidence_is_shuffled_packed_and_once(spark, name):
     assert "SortMergeJoin" not in text  # no join by id, no pairs
 
 
-@pytest.mark.parametrize("name", ["annotate"])
+@pytest.mark.parametrize("name", ["annotate", "annotated_candidates"])
 def test_exons_are_read_with_the_evidence(spark, name):
     text = physical(queries.QUERIES[name](spark, SF))
     below = text[text.index("Exchange hashpartitioning") :]
