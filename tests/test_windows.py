@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,19 @@ def test_exons_of_all_samples(spark):
         assert [r[c] for c in evidence.ANNOTATION] == [together[i][c] for c in evidence.ANNOTATION] and together[i]["disc_support"]
     table = {r["Cluster_ID"]: r["annotation"] for r in candidates.merged_table(left, pairs.drop("did"), pairs, exons=known).collect()}
     assert all(table[i]["exon_detail"] == r["exon_detail"] and table[i]["gene"] == r["gene"] for i, r in alone.items())
+
+
+def test_lists_of_a_window_equal_plain_loops():
+    rng = random.Random(9)
+    for _ in range(40):
+        items = [(s, s + rng.choice([1, 40, 300]) - 1, f"D{rng.randint(0, 30)}") for s in [rng.randint(0, 900) for _ in range(rng.randint(1, 40))]]
+        table = pa.table({"did": [d for *_, d in items], "start2": [s for s, *_ in items], "end2": [e for _, e, _ in items]})
+        near = {n: evidence.prepare(n, table) for n in ("_depth", "_pairs")}
+        spans = [(s, s + rng.choice([1, 60, 250]) - 1) for s in [rng.randint(-200, 1200) for _ in range(25)]]
+        start, end = (np.array(x) for x in zip(*spans, strict=True))
+        (_, records, texts), (_, hits, ids) = evidence.read_depth(start, end, near), evidence.read_pairs(start, end, near, 0.9)
+        met = [[(a, b, d) for a, b, d in items if a <= e and b >= s] for s, e in spans]
+        good = [[d for a, b, d in x if (min(e, b) - max(s, a) + 1) / (e - s + 1) >= 0.9] for x, (s, e) in zip(met, spans, strict=True)]
+        assert texts.to_pylist() == [",".join(f"{a}-{b}" for a, b in sorted({y[:2] for y in x})) or None for x in met]
+        assert (records.tolist(), hits.tolist()) == ([len(x) for x in met], [len(x) for x in good])
+        assert ids.to_pylist() == [",".join(sorted(set(x))) or None for x in good]
